@@ -17,11 +17,6 @@ from pyspark.sql import functions as F
 
 ColumnLike = str | Column
 
-# Sums run on decimals: the total is then the same whatever the task order,
-# the number of partitions or the retries after a lost executor.
-EXACT = "decimal(28,6)"
-
-
 def col(c: ColumnLike) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -42,9 +37,23 @@ def ratio(numerator: ColumnLike, denominator: ColumnLike) -> Column:
     return F.try_divide(col(numerator).cast("double"), col(denominator).cast("double"))
 
 
+def exact_sum(c: ColumnLike) -> Column:
+    """Sum as double, taken to the millionth; NULL for no values.
+
+    Whole units and millionths are summed as two integer totals. Integer sums
+    do not depend on the order of the rows, so the result is the same whatever
+    the partitioning or the retries, at the cost of a plain long sum.
+    """
+    x = col(c).cast("double")
+    whole = F.floor(x)
+    millionths = F.floor((x - whole) * 1e6 + 0.5)
+    total = F.sum(whole).cast("decimal(19,0)") * 1000000 + F.sum(millionths)
+    return total.cast("double") / 1e6
+
+
 def sum0(c: ColumnLike) -> Column:
-    """Order-independent sum as double, 0 for a group without values."""
-    return F.coalesce(F.sum(col(c).cast(EXACT)), F.lit(0).cast(EXACT)).cast("double")
+    """exact_sum with 0 for a group without values."""
+    return F.coalesce(exact_sum(c), F.lit(0.0))
 
 
 def sum_where(condition: Column, c: ColumnLike) -> Column:

@@ -93,9 +93,7 @@ def crosstab(
 ) -> DataFrame:
     """Totals of a measure by row, one named column per listed value."""
     cells = [
-        F.sum(F.when(F.col(column) == value, F.col(measure).cast(sem.EXACT)))
-        .cast("double")
-        .alias(name)
+        sem.exact_sum(F.when(F.col(column) == value, F.col(measure))).alias(name)
         for value, name in names.items()
     ]
     return df.groupBy(row).agg(*cells)

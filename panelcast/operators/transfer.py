@@ -124,10 +124,10 @@ def _nearest_in_block(k: int, rows_at_once: int = 64):
     def nearest(test: pd.DataFrame, train: pd.DataFrame) -> pd.DataFrame:
         if test.empty or train.empty:
             return pd.DataFrame({"item": [], "neighbour": [], "distance": []})
-        train = train.sort_values("item", kind="stable")
-        points = np.stack(train["vector"].to_numpy())
+        train = train.sort_values("neighbour", kind="stable")
+        points = np.stack(train["point"].to_numpy())
         queries = np.stack(test["vector"].to_numpy())
-        names, items = train["item"].to_numpy(), test["item"].to_numpy()
+        names, items = train["neighbour"].to_numpy(), test["item"].to_numpy()
         width = min(k, len(train))
         picks, gaps = [], []
         for start in range(0, len(queries), rows_at_once):
@@ -188,7 +188,8 @@ def knn_items(
         every(train_blocks).alias("_b"),
     )
     train = scaled.filter("_train").select(
-        "item", "vector", every(test_blocks).alias("_a"),
+        F.col("item").alias("neighbour"), F.col("vector").alias("point"),
+        every(test_blocks).alias("_a"),
         F.pmod(bucket, train_blocks).cast("int").alias("_b"),
     )
     id_type = items.schema[item].dataType

@@ -78,7 +78,7 @@ def corporations(spark: SparkSession, sf: str) -> DataFrame:
 
 def panel(spark: SparkSession, sf: str) -> DataFrame:
     """Transactions with all site, pack and period attributes."""
-    month = F.date_format("l_shipdate", "yyyyMM")
+    year = F.year("l_shipdate")
     return (
         table(spark, sf, "lineitem")
         .select("l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice")
@@ -87,11 +87,11 @@ def panel(spark: SparkSession, sf: str) -> DataFrame:
         .select(
             "site", "province", "city", "district", "size", "market", "molecule", "atc3",
             "packid", "item",
-            F.substring(month, 1, 4).alias("year"),
+            year.cast("string").alias("year"),
             F.concat(
-                F.year("l_shipdate").cast("string"), F.lit("Q"), F.quarter("l_shipdate").cast("string")
+                year.cast("string"), F.lit("Q"), F.quarter("l_shipdate").cast("string")
             ).alias("quarter"),
-            month.alias("date"),
+            (year * 100 + F.month("l_shipdate")).cast("string").alias("date"),
             F.col("l_quantity").alias("units"),
             F.col("l_extendedprice").alias("sales"),
         )
@@ -102,6 +102,12 @@ def sample(spark: SparkSession, sf: str) -> DataFrame:
     return panel(spark, sf).filter(F.col("size") >= REPORTING_SIZE)
 
 
+def reporting_sites(spark: SparkSession, sf: str) -> DataFrame:
+    """Sites that occur in the sample; site keys are made distinct before the join."""
+    seen = table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("site_key")).distinct()
+    return sites(spark, sf).filter(F.col("size") >= REPORTING_SIZE).join(seen, "site_key")
+
+
 def feed(spark: SparkSession, sf: str) -> DataFrame:
     """Transactions as a provincial feed would deliver them."""
     rows = table(spark, sf, "lineitem").join(
@@ -112,7 +118,7 @@ def feed(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(
             F.year("l_shipdate").cast("string"), F.lit("Q"), F.quarter("l_shipdate").cast("string")
         ).alias("Quarter"),
-        F.date_format("l_shipdate", "yyyyMM").cast("int").alias("Month"),
+        (F.year("l_shipdate") * 100 + F.month("l_shipdate")).alias("Month"),
         F.concat("province", F.lit("省")).alias("Province"),
         F.when(F.col("province") == "AFRICA", F.lit("市辖区"))
         .otherwise(F.concat("city", F.lit("市")))

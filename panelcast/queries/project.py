@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from panelcast.functions import semantics as sem
 from panelcast.operators import project as op
 from panelcast.queries import bindings as b
-from panelcast.queries.registry import in_, query, rounded, total, total0, using, with_
+from panelcast.queries.registry import in_, query, rounded, total0, using, with_
+from panelcast.sources.stages import stage
 
 AREA = ["province", "city"]
 PACK = ["market", "item"]
@@ -95,9 +97,9 @@ def segments(spark, sf):
 def projected_sites(spark, sf):
     """The site dimension with size, segment and site-level panel flags."""
     sites = b.sites(spark, sf)
-    known = sites.filter(F.col("est").isNotNull())
-    sample = b.sample(spark, sf).select("site").distinct()
-    flagged = op.panel_membership(known, sample, "site", "est")
+    flagged = op.panel_membership(
+        sites.filter(F.col("est").isNotNull()), b.reporting_sites(spark, sf), "site", "est"
+    )
     flagged = op.trusted_sites(
         flagged,
         sites.filter(F.col("size") > b.OUTLIER_SIZE),
@@ -120,10 +122,12 @@ def flagged_pairs(spark, sf):
 
 
 def observed(spark, sf):
+    """Quarter sales per site and pack: the only pass over the transactions."""
     return (
         b.sample(spark, sf)
         .filter(F.col("quarter").isin(b.PERIODS))
-        .select("quarter", "site", *AREA, *PACK, "sales")
+        .groupBy(*KEYS)
+        .agg(sem.sum0("sales").alias("sales"))
     )
 
 
@@ -134,30 +138,32 @@ def factors(spark, sf):
     return rows.withColumn("factor", F.lit(0.5) + F.col("seg") * 0.25)
 
 
-def universe(spark, sf):
-    rows = op.expand_universe(
-        projected_sites(spark, sf), observed(spark, sf), b.PERIODS, AREA, PACK
-    )
-    return op.demote_pairs(rows, flagged_pairs(spark, sf), ["site", "market"])
-
+class Projection:
+    """Inputs of the projection, stored once because every step reads them again."""
 
-def zero_filled(spark, sf):
-    return op.zero_filled_panel(universe(spark, sf), observed(spark, sf), KEYS, ["est", "seg"])
+    def __init__(self, spark, sf):
+        self.observed = stage(observed(spark, sf), "quarter_sales")
+        self.sites = stage(projected_sites(spark, sf), "sites")
+        self.pairs = stage(flagged_pairs(spark, sf), "pairs")
+        self.factors = factors(spark, sf)
 
+    def universe(self):
+        rows = op.expand_universe(self.sites, self.observed, b.PERIODS, AREA, PACK)
+        return op.demote_pairs(rows, self.pairs, ["site", "market"])
 
-def compact_slopes(spark, sf):
-    rows = observed(spark, sf)
-    return op.ratio_slope_compact(
-        projected_sites(spark, sf), rows, rows, flagged_pairs(spark, sf), AREA, PACK, GROUP
-    )
+    def zero_filled(self):
+        return op.zero_filled_panel(self.universe(), self.observed, KEYS, ["est", "seg"])
 
+    def slopes(self):
+        return op.ratio_slope_compact(
+            self.sites, self.observed, self.observed, self.pairs, AREA, PACK, GROUP
+        )
 
-def scored(spark, sf):
-    rows = observed(spark, sf)
-    return op.score_universe_compact(
-        projected_sites(spark, sf), rows, rows, flagged_pairs(spark, sf),
-        compact_slopes(spark, sf), factors(spark, sf), AREA, PACK, GROUP,
-    )
+    def scored(self):
+        return op.score_universe_compact(
+            self.sites, self.observed, self.observed, self.pairs, self.slopes(), self.factors,
+            AREA, PACK, GROUP,
+        )
 
 
 @query(
@@ -204,7 +210,7 @@ def panel_flags(spark, sf):
     rows = sites.select("site", "est", F.explode(F.array(*markets)).alias("market"))
     return op.panel_flags(
         rows,
-        b.sample(spark, sf),
+        b.reporting_sites(spark, sf),
         sites.filter(F.col("size") > b.OUTLIER_SIZE),
         flagged_pairs(spark, sf),
         sites.filter(~F.col("size").between(*b.NEW_SITES)),
@@ -226,22 +232,22 @@ def assign_segment(spark, sf):
 
 @query(with_(*_CHAIN[:4], "SELECT * EXCLUDE (flag_ot, panel), panel FROM universe"))
 def expand_universe(spark, sf):
-    return universe(spark, sf).drop("flag_ot")
+    return Projection(spark, sf).universe().drop("flag_ot")
 
 
 @query(with_(*_CHAIN[:5], "SELECT * FROM zero_filled"))
 def zero_filled_panel(spark, sf):
-    return zero_filled(spark, sf)
+    return Projection(spark, sf).zero_filled()
 
 
 @query(with_(*_CHAIN[:6], "SELECT * FROM slopes"))
 def ratio_slope(spark, sf):
-    return op.ratio_slope(zero_filled(spark, sf), GROUP, "panel_sales", "est")
+    return op.ratio_slope(Projection(spark, sf).zero_filled(), GROUP, "panel_sales", "est")
 
 
 @query(with_(*_CHAIN[:6], "SELECT * FROM slopes WHERE slope > 0"))
 def ratio_slope_compact(spark, sf):
-    return compact_slopes(spark, sf)
+    return Projection(spark, sf).slopes()
 
 
 @query(
@@ -263,7 +269,8 @@ def ratio_slope_compact(spark, sf):
     )
 )
 def spearman_by_group(spark, sf):
-    out = op.spearman_by_group(zero_filled(spark, sf), GROUP, "panel_sales", "est")
+    panel = stage(Projection(spark, sf).zero_filled(), "zero_filled")
+    out = op.spearman_by_group(panel, GROUP, "panel_sales", "est")
     return rounded(out, 6, "spearman_cor")
 
 
@@ -278,9 +285,9 @@ def spearman_by_group(spark, sf):
     )
 )
 def match_uniqueness(spark, sf):
-    rows = observed(spark, sf)
-    sales = rows.groupBy(*KEYS).agg(F.sum(F.col("sales").cast("decimal(28,6)")).alias("panel_sales"))
-    matched = op.sem.null_safe_join(universe(spark, sf), sales, KEYS)
+    p = Projection(spark, sf)
+    sales = p.observed.withColumnRenamed("sales", "panel_sales")
+    matched = sem.null_safe_join(p.universe(), sales, KEYS)
     return op.match_uniqueness(sales, matched, "panel_sales")
 
 
@@ -292,15 +299,16 @@ def sites_per_area(spark, sf):
 @query(with_(*_CHAIN, "SELECT * FROM scored"))
 def score_universe(spark, sf):
     """The compact form used by the job."""
-    return scored(spark, sf)
+    return Projection(spark, sf).scored()
 
 
 @query(with_(*_CHAIN, "SELECT * FROM scored"))
 def score_universe_long(spark, sf):
     """The long form on the expanded skeleton."""
-    slopes = op.ratio_slope(zero_filled(spark, sf), GROUP, "panel_sales", "est")
+    p = Projection(spark, sf)
+    slopes = op.ratio_slope(p.zero_filled(), GROUP, "panel_sales", "est")
     return op.score_universe(
-        universe(spark, sf), observed(spark, sf), slopes, factors(spark, sf), KEYS, GROUP
+        p.universe(), p.observed, slopes, p.factors, KEYS, GROUP
     ).drop("flag_ot")
 
 
@@ -325,7 +333,7 @@ _PASS = f"""passed AS (
 
 def _equal_share_scope(spark, sf):
     here = F.col("province") == b.EQUAL_SHARE_PROVINCE
-    return observed(spark, sf).filter(here), b.sites(spark, sf).filter(here)
+    return stage(observed(spark, sf).filter(here), "area_sales"), b.sites(spark, sf).filter(here)
 
 
 @query(with_(b.SAMPLE, _OBSERVED, _EQUAL, "SELECT * FROM allocated"))
@@ -350,14 +358,16 @@ _ROLLUP = ["quarter", "province", "site", "market", "item", "panel"]
         f"""parts AS (SELECT {_list(_ROLLUP)}, final_sales FROM scored
                       WHERE province <> '{b.EQUAL_SHARE_PROVINCE}'
                       UNION ALL SELECT {_list(_ROLLUP)}, final_sales FROM passed)""",
-        f"""SELECT {_list(_ROLLUP)}, round({total('final_sales')}, 5) AS sales
+        f"""SELECT {_list(_ROLLUP)}, {total0('final_sales')} AS sales
             FROM parts GROUP BY {_list(_ROLLUP)}""",
     )
 )
 def projection_rollup(spark, sf):
-    rows, sites = _equal_share_scope(spark, sf)
+    p = Projection(spark, sf)
+    rows = p.observed.filter(F.col("province") == b.EQUAL_SHARE_PROVINCE)
+    sites = b.sites(spark, sf).filter(F.col("province") == b.EQUAL_SHARE_PROVINCE)
     allocated = op.equal_share_allocation(rows, sites, AREA, ITEM)
     equal = op.observed_passthrough(rows, allocated, AREA, ITEM)
-    most = scored(spark, sf).filter(F.col("province") != b.EQUAL_SHARE_PROVINCE)
+    most = p.scored().filter(F.col("province") != b.EQUAL_SHARE_PROVINCE)
     parts = [p.withColumnRenamed("final_sales", "sales") for p in (most, equal)]
-    return rounded(op.projection_rollup(*parts, keys=_ROLLUP), 5, "sales")
+    return op.projection_rollup(*parts, keys=_ROLLUP)

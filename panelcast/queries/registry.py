@@ -26,8 +26,12 @@ def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
 
 
 def total(x: str) -> str:
-    """SQL of an exact sum as double (NULL for no values)."""
-    return f"CAST(sum(CAST({x} AS DECIMAL(28,6))) AS DOUBLE)"
+    """SQL of a sum taken to the millionth (NULL for no values)."""
+    x = f"CAST({x} AS DOUBLE)"
+    return (
+        f"(CAST(sum(CAST(floor({x}) AS BIGINT)) * 1000000"
+        f" + sum(CAST(floor(({x} - floor({x})) * 1000000 + 0.5) AS BIGINT)) AS DOUBLE) / 1000000)"
+    )
 
 
 def total0(x: str) -> str:

@@ -10,6 +10,7 @@ from panelcast.operators import transfer as op
 from panelcast.queries import bindings as b
 from panelcast.queries.price import grain_sql, ladder_sql
 from panelcast.queries.registry import query, rounded, total0, with_
+from panelcast.sources.stages import stage
 
 DONOR, TARGET = "EUROPE", "ASIA"
 BEFORE, AFTER = "1999Q1", "2000Q1"
@@ -93,36 +94,38 @@ def target(spark, sf):
     )
 
 
-def own_growth(spark, sf):
+def own_growth(spark, sf, items):
     return op.donor_growth(
-        region_panel(spark, sf), F.col("province") == DONOR, TARGET, (BEFORE, AFTER),
-        target(spark, sf), "packid",
+        region_panel(spark, sf), F.col("province") == DONOR, TARGET, (BEFORE, AFTER), items, "packid"
     )
 
 
-def matrix(spark, sf):
-    return op.item_period_matrix(
-        b.panel(spark, sf), "packid", "date", "sales", MONTHS, own_growth(spark, sf)
-    )
-
-
-def neighbours(spark, sf):
-    return op.knn_items(op.as_vector(matrix(spark, sf), MONTHS), "packid")
+class Transfer:
+    """The chain from the target slice to the cascade; shared inputs are stored once."""
 
+    def __init__(self, spark, sf):
+        self.target = stage(target(spark, sf), "target")
+        self.own = stage(own_growth(spark, sf, self.target), "own_growth")
+        self.matrix = stage(
+            op.item_period_matrix(
+                b.panel(spark, sf), "packid", "date", "sales", MONTHS, self.own
+            ),
+            "matrix",
+        )
 
-def weights(spark, sf):
-    return op.inverse_distance_weights(neighbours(spark, sf), "packid").drop("distance")
+    def neighbours(self):
+        return op.knn_items(op.as_vector(self.matrix, MONTHS), "packid")
 
+    def weights(self):
+        return op.inverse_distance_weights(self.neighbours(), "packid").drop("distance")
 
-def neighbour_growth(spark, sf):
-    return op.neighbour_weighted_growth(weights(spark, sf), own_growth(spark, sf), "packid")
+    def neighbour_growth(self):
+        return op.neighbour_weighted_growth(self.weights(), self.own, "packid")
 
-
-def cascade(spark, sf):
-    return op.growth_cascade(
-        target(spark, sf), own_growth(spark, sf), neighbour_growth(spark, sf),
-        matrix(spark, sf), "packid", TARGET,
-    )
+    def cascade(self):
+        return op.growth_cascade(
+            self.target, self.own, self.neighbour_growth(), self.matrix, "packid", TARGET
+        )
 
 
 @query(with_(*_OWN_CHAIN[:3], "SELECT * FROM target"))
@@ -151,17 +154,20 @@ def split_known_missing(spark, sf):
 
 @query(with_(*_OWN_CHAIN, "SELECT * FROM own"))
 def donor_growth(spark, sf):
-    return own_growth(spark, sf)
+    return own_growth(spark, sf, target(spark, sf))
 
 
 @query(with_(*_OWN_CHAIN, _MATRIX, "SELECT * FROM matrix"))
 def item_period_matrix(spark, sf):
-    return matrix(spark, sf)
+    return op.item_period_matrix(
+        b.panel(spark, sf), "packid", "date", "sales", MONTHS,
+        own_growth(spark, sf, target(spark, sf)),
+    )
 
 
 @query(with_(*_KNN_CHAIN, "SELECT * REPLACE (round(distance, 6) AS distance) FROM neighbours"))
 def knn_items(spark, sf):
-    return rounded(neighbours(spark, sf), 6, "distance")
+    return rounded(Transfer(spark, sf).neighbours(), 6, "distance")
 
 
 @query(
@@ -186,7 +192,7 @@ def knn_vectors(spark, sf):
     )
 )
 def inverse_distance_weights(spark, sf):
-    return rounded(weights(spark, sf), 8, "weight")
+    return rounded(Transfer(spark, sf).weights(), 8, "weight")
 
 
 @query(
@@ -196,14 +202,14 @@ def inverse_distance_weights(spark, sf):
     )
 )
 def neighbour_weighted_growth(spark, sf):
-    return rounded(neighbour_growth(spark, sf), 8, "growth")
+    return rounded(Transfer(spark, sf).neighbour_growth(), 8, "growth")
 
 
 @query(
     with_(*_GROWTH_CHAIN, "SELECT city, packid, round(growth, 8) AS growth, flag FROM cascade_")
 )
 def growth_cascade(spark, sf):
-    return rounded(cascade(spark, sf), 8, "growth")
+    return rounded(Transfer(spark, sf).cascade(), 8, "growth")
 
 
 @query(
@@ -222,7 +228,8 @@ def growth_cascade(spark, sf):
     )
 )
 def apply_growth(spark, sf):
-    out = op.apply_growth(target(spark, sf), cascade(spark, sf), OVERRIDES, "packid", AFTER)
+    t = Transfer(spark, sf)
+    out = op.apply_growth(t.target, t.cascade(), OVERRIDES, "packid", AFTER)
     return rounded(out, 4, "sales", "units")
 
 
@@ -251,7 +258,8 @@ grains AS (
 def borrowed_price_ladder(spark, sf):
     sampled = b.sample(spark, sf).filter(F.col("year") == "2000").withColumn("city", F.col("province"))
     grains = price_op.relabel_grains(price_op.price_grains(sampled), DONOR, DONOR, TARGET, TARGET)
-    grown = op.grow(target(spark, sf), cascade(spark, sf), "packid", AFTER)
+    t = Transfer(spark, sf)
+    grown = stage(op.grow(t.target, t.cascade(), "packid", AFTER), "grown")
     return rounded(op.borrowed_price_ladder(grown, grains), 4, "sales", "units")
 
 
