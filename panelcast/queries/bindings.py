@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelcast.functions import semantics as sem
+
 YEARS = ("1999", "2000")
 PERIODS = ["2000Q1", "2000Q2"]
 REPORTING_SIZE = 1500
@@ -55,7 +57,7 @@ def packs(spark: SparkSession, sf: str) -> DataFrame:
     )
     return table(spark, sf, "part").select(
         F.col("p_partkey").alias("pack_key"),
-        F.lpad(F.col("p_partkey").cast("string"), 7, "0").alias("packid"),
+        sem.pad_id("p_partkey").alias("packid"),
         F.col("p_type").alias("market"),
         F.col("p_brand").alias("molecule"),
         atc3.alias("atc3"),
@@ -158,7 +160,9 @@ SITES = """sites AS (
   JOIN region ON r_regionkey = n_regionkey)"""
 
 PACKS = """packs AS (
-  SELECT p_partkey AS pack_key, lpad(CAST(p_partkey AS VARCHAR), 7, '0') AS packid,
+  SELECT p_partkey AS pack_key,
+         CASE WHEN p_partkey > 9999999 THEN CAST(p_partkey AS VARCHAR)
+              ELSE lpad(CAST(p_partkey AS VARCHAR), 7, '0') END AS packid,
          p_type AS market, p_brand AS molecule,
          'C' || lpad(substr(p_brand, 7, 2), 2, '0') || substr(p_type, 1, 1) AS atc3,
          'C' || lpad(substr(p_brand, 7, 2), 2, '0') || substr(p_type, 1, 1)
