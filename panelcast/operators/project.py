@@ -256,6 +256,20 @@ def score_universe(
     )
 
 
+def with_flagged_markets(sites: DataFrame, pairs: DataFrame, site: str) -> DataFrame:
+    """The flagged markets of each site as an array on the site dimension.
+
+    A site has at most as many flagged markets as there are markets, so facts
+    that are joined to their site need no second join to the pair list.
+    """
+    flagged = pairs.groupBy(site).agg(F.collect_set("market").alias("flagged"))
+    return sem.null_safe_join(sites, flagged, [site], "left")
+
+
+def _is_flagged() -> Column:
+    return F.coalesce(F.array_contains("flagged", F.col("market")), F.lit(False))
+
+
 def ratio_slope_compact(
     sites: DataFrame,
     packs: DataFrame,
@@ -267,37 +281,36 @@ def ratio_slope_compact(
     site: str = "site",
     size: str = "est",
 ) -> DataFrame:
-    """The slopes of ``ratio_slope`` without expanding the universe.
+    """The positive slopes of ``ratio_slope`` without expanding the universe.
 
     mean(sales) / mean(size) over the panel sites of a group is Σ sales / Σ size.
     Σ size needs only the size of the panel per area, segment and market, times
     the packs sold in that area; Σ sales needs only rows that exist. Both are
     aggregated before anything is joined to packs.
     """
-    trusted = sites.filter(F.col("panel") == 1)
+    trusted = sites.filter(F.col("panel") == 1).select(site, *area, "seg", size)
+    trusted = with_flagged_markets(trusted, flagged_pairs, site)
     local = packs.select(*area, *pack).distinct()
     markets = local.select(*area, "market").distinct()
-    pairs = flagged_pairs.select(site, "market").distinct()
 
     # Flagged pairs are few: take their size out of the total of their area.
     total = trusted.groupBy(*area, "seg").agg(sem.sum0(size).alias("_all"))
-    out = sem.null_safe_join(pairs, trusted.select(site, *area, "seg", size), [site])
+    out = trusted.select(*area, "seg", size, F.explode("flagged").alias("market"))
     out = out.groupBy(*area, "seg", "market").agg(sem.sum0(size).alias("_out"))
     sizes = sem.null_safe_join(total, markets, area)
     sizes = sem.null_safe_join(sizes, out, [*area, "seg", "market"], "left").select(
         *area, "seg", "market", (F.col("_all") - F.coalesce("_out", F.lit(0.0))).alias("_x")
     )
     sizes = sem.null_safe_join(sizes, local, [*area, "market"])
+    by = [c for c in group if c != "quarter"]
+    sizes = sizes.groupBy(*by).agg(sem.sum0("_x").alias("_x"))
 
     rows = sem.null_safe_join(
         observed.select(site, *area, *pack, "quarter", "sales"),
-        trusted.select(site, *area, "seg"),
+        trusted.select(site, *area, "seg", "flagged"),
         [site, *area],
     )
-    rows = sem.null_safe_join(rows, pairs, [site, "market"], "left_anti")
-    sales = rows.groupBy(*group).agg(sem.sum0("sales").alias("_y"))
-    by = [c for c in group if c != "quarter"]
-    sizes = sizes.groupBy(*by).agg(sem.sum0("_x").alias("_x"))
+    sales = rows.filter(~_is_flagged()).groupBy(*group).agg(sem.sum0("sales").alias("_y"))
     return (
         sem.null_safe_join(sales, sizes, by)
         .filter((F.col("_y") > 0) & (F.col("_x") > 0))
@@ -320,36 +333,37 @@ def score_universe_compact(
 ) -> DataFrame:
     """The rows of ``score_universe`` without the zero skeleton.
 
-    Only positive results are kept in the end, so it is enough to take observed
-    sales of reporting sites and to bring positive slopes, per area and segment,
-    to the sites that do not report.
+    ``observed`` holds quarter sums, one row per site, quarter and pack. Only
+    positive results are kept in the end, so it is enough to take the observed
+    sums of reporting sites and to bring positive slopes, per area and segment,
+    to the sites that do not report. The latter are outside the panel anyway,
+    so the flagged pairs matter for reporting sites only.
     """
     attrs = [site, *area, "seg", "panel", "panel_all", size]
-    own = observed.groupBy("quarter", site, *area, *pack).agg(
-        sem.sum0("sales").alias("final_sales")
-    )
-    reporting = sem.null_safe_join(
-        own, sites.filter(F.col("panel_all") != 0).select(*attrs), [site, *area]
+    reporting = with_flagged_markets(
+        sites.filter(F.col("panel_all") != 0).select(*attrs), flagged_pairs, site
     )
+    own = observed.select("quarter", site, *area, *pack, F.col("sales").alias("final_sales"))
+    reporting = sem.null_safe_join(own, reporting, [site, *area]).withColumn(
+        "panel", F.when(_is_flagged(), F.lit(0)).otherwise(F.col("panel"))
+    ).drop("flagged")
 
+    quiet = sites.filter(F.col("panel_all") == 0).select(*attrs)
     rates = sem.lookup_join(
         slopes.filter(F.col("slope") > 0), factors, ["market", "seg"], ["factor"]
-    ).withColumn("_rate", F.col("factor"))
-    local = packs.select(*area, *pack).distinct()
-    segments = sites.filter(F.col("panel_all") == 0).select(*area, "seg").distinct()
-    by = [k for k in slope_keys if k != "quarter"]
-    offer = sem.null_safe_join(segments, local, area)
-    offer = sem.null_safe_join(offer, rates, by).drop("factor")
-    silent = sem.null_safe_join(
-        sites.filter(F.col("panel_all") == 0).select(*attrs), offer, [*area, "seg"]
     )
-    silent = silent.withColumn(
-        "final_sales",
-        F.greatest(F.col(size) * F.col("slope") + F.col("intercept"), F.lit(0.0))
-        * F.col("_rate"),
-    ).drop("slope", "intercept", "_rate")
-    scored = reporting.unionByName(silent).filter(F.col("final_sales") > 0)
-    return demote_pairs(scored, flagged_pairs, [site, "market"]).drop("flag_ot")
+    # What is offered to an area and segment is worked out before any site is joined.
+    offer = sem.null_safe_join(
+        quiet.select(*area, "seg").distinct(), packs.select(*area, *pack).distinct(), area
+    )
+    offer = sem.null_safe_join(offer, rates, [k for k in slope_keys if k != "quarter"])
+    predicted = F.greatest(F.col(size) * F.col("slope") + F.col("intercept"), F.lit(0.0))
+    silent = (
+        sem.null_safe_join(quiet, offer, [*area, "seg"])
+        .withColumn("final_sales", predicted * F.col("factor"))
+        .drop("slope", "intercept", "factor")
+    )
+    return reporting.unionByName(silent).filter(F.col("final_sales") > 0)
 
 
 def equal_share_allocation(

@@ -155,7 +155,7 @@ def knn_items(
     vector: str = "vector",
     train_flag: str = "train_flag",
     k: int = 3,
-    block_rows: int = 2048,
+    block_rows: int = 4096,
 ) -> DataFrame:
     """The k nearest train items of every other item (exact).
 

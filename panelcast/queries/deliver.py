@@ -9,6 +9,7 @@ from panelcast.operators import deliver as op
 from panelcast.queries import bindings as b
 from panelcast.queries.channel import pack_details
 from panelcast.queries.registry import in_, query, total0, values, with_
+from panelcast.sources.stages import stage
 
 KEYS = ["province", "city", "year", "quarter", "market", "atc3", "molecule", "packid"]
 CURRENT = ["2000Q2"]
@@ -112,10 +113,10 @@ def main_part(spark, sf):
     )
 
 
-def supplement(spark, sf):
+def supplement(spark, sf, main):
     details = pack_details(spark, sf)
     return op.class_supplement(
-        signed(spark, sf), main_part(spark, sf), details, details, KEYS, CHANNEL, "C10S", FORMS
+        signed(spark, sf), main, details, details, KEYS, CHANNEL, "C10S", FORMS
     )
 
 
@@ -126,7 +127,7 @@ def delivery_aggregate(spark, sf):
 
 @query(with_(*_DELIVERY, "SELECT * FROM extra"))
 def class_supplement(spark, sf):
-    return supplement(spark, sf)
+    return supplement(spark, sf, main_part(spark, sf))
 
 
 NAMES = {
@@ -145,7 +146,8 @@ _RENAMED = _list(f"{c} AS {n}" for c, n in NAMES.items())
     )
 )
 def channel_union(spark, sf):
-    return op.channel_union(main_part(spark, sf), supplement(spark, sf), names=NAMES)
+    main = stage(main_part(spark, sf), "delivery")
+    return op.channel_union(main, supplement(spark, sf, main), names=NAMES)
 
 
 _BIDS = """bids AS (
@@ -519,7 +521,7 @@ _RESTATED = f"""restated AS (
 
 
 def restated(spark, sf):
-    rows = history(spark, sf)
+    rows = stage(history(spark, sf), "history")
     old = rows.filter(F.col("quarter") < "2000Q2")
     new = rows.filter(F.col("quarter") >= "2000Q2").withColumn("sales", F.col("sales") * 1.5)
     slice_ = (

@@ -9,6 +9,7 @@ from panelcast.operators.conform import canonical_panel
 from panelcast.queries import bindings as b
 from panelcast.queries.conform import PANEL_KEYS
 from panelcast.queries.registry import query, total, total0, using, with_
+from panelcast.sources.stages import stage
 
 CELL = ["qoy", "province", "city", "district", "site", "market"]
 GROWTH = ["qoy", "province", "city", "market", "atc3", "molecule"]
@@ -70,38 +71,42 @@ def observed(spark, sf):
     return canonical_panel(rows, PANEL_KEYS).drop("units", "price")
 
 
-def imputable(spark, sf):
-    rows = observed(spark, sf).filter(F.col("year").isin(list(b.YEARS)))
-    return op.with_quarter_parts(rows)
+def imputable(panel):
+    return op.with_quarter_parts(panel.filter(F.col("year").isin(list(b.YEARS))))
 
 
-def paired(spark, sf):
-    panel = imputable(spark, sf)
-    cont = op.period_continuity(panel, CELL, b.YEARS)
-    growth = op.bounded_growth(panel, cont, CELL, GROWTH, b.YEARS)
-    return op.impute_paired_period(panel, cont, growth, CELL, ITEM, GROWTH, b.YEARS)
+def paired(panel):
+    rows = imputable(panel)
+    cont = op.period_continuity(rows, CELL, b.YEARS)
+    growth = op.bounded_growth(rows, cont, CELL, GROWTH, b.YEARS)
+    return op.impute_paired_period(rows, cont, growth, CELL, ITEM, GROWTH, b.YEARS)
+
+
+def stored(spark, sf):
+    """The canonical panel as a stored stage: the imputation reads it several times."""
+    return stage(observed(spark, sf), "panel")
 
 
 @query(with_(*_CHAIN[:4], "SELECT * FROM continuity"))
 def period_continuity(spark, sf):
-    return op.period_continuity(imputable(spark, sf), CELL, b.YEARS)
+    return op.period_continuity(imputable(observed(spark, sf)), CELL, b.YEARS)
 
 
 @query(with_(*_CHAIN[:5], "SELECT * FROM growth"))
 def bounded_growth(spark, sf):
-    panel = imputable(spark, sf)
+    panel = imputable(stored(spark, sf))
     cont = op.period_continuity(panel, CELL, b.YEARS)
     return op.bounded_growth(panel, cont, CELL, GROWTH, b.YEARS)
 
 
 @query(with_(*_CHAIN[:6], "SELECT * FROM wide"))
 def impute_paired_period(spark, sf):
-    return paired(spark, sf)
+    return paired(stored(spark, sf))
 
 
 @query(with_(*_CHAIN, "SELECT * FROM long"))
 def unpivot_compound(spark, sf):
-    return op.unpivot_compound(paired(spark, sf), ["flag", "sales"], "year")
+    return op.unpivot_compound(paired(stored(spark, sf)), ["flag", "sales"], "year")
 
 
 @query(
@@ -117,5 +122,6 @@ def unpivot_compound(spark, sf):
     )
 )
 def merge_imputed(spark, sf):
-    long = op.unpivot_compound(paired(spark, sf), ["flag", "sales"], "year")
-    return op.merge_imputed(observed(spark, sf), op.rebuild_periods(long), PANEL_KEYS)
+    panel = stored(spark, sf)
+    long = op.unpivot_compound(paired(panel), ["flag", "sales"], "year")
+    return op.merge_imputed(panel, op.rebuild_periods(long), PANEL_KEYS)

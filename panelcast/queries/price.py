@@ -8,6 +8,7 @@ from panelcast.functions import semantics as sem
 from panelcast.operators import price as op
 from panelcast.queries import bindings as b
 from panelcast.queries.registry import query, total0, using, with_
+from panelcast.sources.stages import stage
 
 TARGET = ["year", "quarter", "province", "city", "site", "market", "atc3", "molecule", "packid"]
 
@@ -60,6 +61,8 @@ def price_grains(spark, sf):
     )
 )
 def price_ladder(spark, sf):
+    sums = [sem.sum0(m).alias(m) for m in ("sales", "units")]
     rows = b.panel(spark, sf).filter(F.col("year") == "2000")
-    targets = rows.groupBy(*TARGET).agg(sem.sum0("sales").alias("sales"))
-    return op.price_ladder(targets, grains(spark, sf))
+    sold = stage(rows.groupBy(*TARGET, "size").agg(*sums), "sold")
+    prices = op.price_grains(sold.filter(F.col("size") >= b.REPORTING_SIZE))
+    return op.price_ladder(sold.select(*TARGET, "sales"), prices)
