@@ -184,5 +184,34 @@ def lookup_join(
     return null_safe_join(df, unique_lookup(table, keys, values), keys, "left")
 
 
+def fan_out_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    row_id: str,
+    how: str = "inner",
+    rows_per_shard: int = 1000,
+) -> DataFrame:
+    """Null-safe join in which every left row of a key meets every right row of it.
+
+    The output of one key is the product of both sides, so a large key would
+    blow up in a single task even if its input is small. Left rows of a key are
+    cut into shards of about ``rows_per_shard``; the right rows of the key are
+    repeated once per shard. Small keys have one shard and are not repeated.
+    """
+    shards = left.groupBy(*keys).agg(
+        F.ceil(F.count(F.lit(1)) / rows_per_shard).alias("_shards")
+    )
+    placed = null_safe_join(left, shards, keys, "left").withColumn(
+        "_shard", F.pmod(F.xxhash64(row_id), "_shards")
+    )
+    repeated = null_safe_join(right, shards, keys, "inner").withColumn(
+        "_shard", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_shards") - 1))
+    )
+    return null_safe_join(
+        placed.drop("_shards"), repeated.drop("_shards"), [*keys, "_shard"], how
+    ).drop("_shard")
+
+
 def positive(*columns: str) -> Column:
     return all_of(F.col(c) > 0 for c in columns)

@@ -105,6 +105,7 @@ def expand_universe(
     quarters: Sequence[str],
     area: Sequence[str],
     pack: Sequence[str],
+    site: str = "site",
 ) -> DataFrame:
     """Each site × quarter × pack sold in the area of the site: the zero skeleton.
 
@@ -114,7 +115,7 @@ def expand_universe(
     """
     local = packs.select(*area, *pack).distinct()
     periods = F.explode(F.array(*[F.lit(q) for q in quarters])).alias("quarter")
-    return sem.null_safe_join(sites.select("*", periods), local, area, "left")
+    return sem.fan_out_join(sites, local, area, site, "left").select("*", periods)
 
 
 def zero_filled_panel(
@@ -359,7 +360,7 @@ def score_universe_compact(
     offer = sem.null_safe_join(offer, rates, [k for k in slope_keys if k != "quarter"])
     predicted = F.greatest(F.col(size) * F.col("slope") + F.col("intercept"), F.lit(0.0))
     silent = (
-        sem.null_safe_join(quiet, offer, [*area, "seg"])
+        sem.fan_out_join(quiet, offer, [*area, "seg"], site)
         .withColumn("final_sales", predicted * F.col("factor"))
         .drop("slope", "intercept", "factor")
     )
@@ -380,7 +381,7 @@ def equal_share_allocation(
     silent = sem.null_safe_join(
         universe.select(site, *area), observed.select(site).distinct(), [site], "left_anti"
     )
-    return sem.null_safe_join(silent, share, area, "left").withColumn("panel", F.lit(0))
+    return sem.fan_out_join(silent, share, area, site, "left").withColumn("panel", F.lit(0))
 
 
 def observed_passthrough(

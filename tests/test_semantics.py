@@ -92,3 +92,18 @@ def test_half_even_rounding(rows):
     df = rows("x double", (0.5,), (1.5,), (2.5,))
     assert [r.y for r in df.select(F.bround("x", 0).alias("y")).collect()] == [0.0, 2.0, 2.0]
     assert df.select(F.bround(F.lit(0.125), 2).alias("y")).first().y == 0.12
+
+
+def test_fan_out_join_equals_a_plain_join(spark):
+    left = spark.range(50).select(
+        F.col("id").cast("string").alias("site"),
+        F.when(F.col("id") < 40, "big").when(F.col("id") < 45, "small").alias("area"),
+    )
+    right = spark.createDataFrame(
+        [("big", i) for i in range(7)] + [(None, 1), (None, 2), ("unused", 3)], "area string, pack int"
+    )
+    for how in ("inner", "left"):
+        plain = sem.null_safe_join(left, right, ["area"], how)
+        cut = sem.fan_out_join(left, right, ["area"], "site", how, rows_per_shard=6)
+        assert cut.columns == plain.columns
+        assert values(cut, "site", "area", "pack") == values(plain, "site", "area", "pack")
