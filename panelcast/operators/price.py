@@ -53,28 +53,37 @@ def price_grains(panel: DataFrame, pack: str = "packid") -> DataFrame:
     )
 
 
-def resolve_prices(
-    places: DataFrame, grains: DataFrame, pack: str = "packid", own: str | None = None
-) -> DataFrame:
-    """Price of each pack × place × period from the finest grain that has one."""
-    out = places
-    names = []
-    for name, keys in LADDER.items():
-        by = [pack, *keys]
-        prices = grains.filter(F.col("grain") == name).select(
-            *by, F.col("price").alias(f"_{name}")
+def resolve_prices(places: DataFrame, grains: DataFrame, pack: str = "packid") -> DataFrame:
+    """Price of each pack × place × period from the finest grain that has one.
+
+    Every combination asks for its price at all six grains in one join; the
+    answers are folded back to one row, the finest known price first.
+    """
+    by = [pack, *PLACE_TIME]
+    asked = [
+        F.struct(
+            F.lit(name).alias("grain"),
+            *[
+                (F.col(c) if c in keys else F.lit(None).cast("string")).alias(f"_{c}")
+                for c in PLACE_TIME
+            ],
         )
-        out = sem.null_safe_join(out, prices, by, "left")
-        names.append(f"_{name}")
-    first = [own] if own else []
-    return out.withColumn("price", F.coalesce(*first, *names)).drop(*names)
+        for name, keys in LADDER.items()
+    ]
+    questions = places.select(*by, F.inline(F.array(*asked)))
+    keyed = grains.withColumnsRenamed({c: f"_{c}" for c in PLACE_TIME})
+    answers = sem.null_safe_join(
+        questions, keyed, [pack, "grain", *[f"_{c}" for c in PLACE_TIME]], "inner"
+    )
+    known = [F.max(F.when(F.col("grain") == name, F.col("price"))) for name in LADDER]
+    return answers.groupBy(*by).agg(F.coalesce(*known).alias("price"))
 
 
 def attach_price(targets: DataFrame, grains: DataFrame, pack: str = "packid") -> DataFrame:
     """Resolved price and units = sales / price on every target row.
 
-    The six joins run on the distinct pack × place × period combinations; the
-    target rows themselves are joined once.
+    The ladder is worked out for the distinct pack × place × period combinations;
+    the target rows themselves are joined once.
     """
     by = [pack, *PLACE_TIME]
     resolved = resolve_prices(targets.select(*by).distinct(), grains, pack)

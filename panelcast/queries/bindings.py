@@ -104,12 +104,6 @@ def sample(spark: SparkSession, sf: str) -> DataFrame:
     return panel(spark, sf).filter(F.col("size") >= REPORTING_SIZE)
 
 
-def reporting_sites(spark: SparkSession, sf: str) -> DataFrame:
-    """Sites that occur in the sample; site keys are made distinct before the join."""
-    seen = table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("site_key")).distinct()
-    return sites(spark, sf).filter(F.col("size") >= REPORTING_SIZE).join(seen, "site_key")
-
-
 def feed(spark: SparkSession, sf: str) -> DataFrame:
     """Transactions as a provincial feed would deliver them."""
     rows = table(spark, sf, "lineitem").join(

@@ -97,37 +97,44 @@ _DELIVERY = [b.PANEL, b.CORPORATIONS, _DETAILS, _SIGNED, _MAIN, _SUPPLEMENT]
 
 
 def signed(spark, sf):
-    return b.panel(spark, sf).withColumns(
+    rows = b.panel(spark, sf).withColumns(
         {
             "sales": F.when(F.col("city") == "NATION_2", -F.col("sales")).otherwise(F.col("sales")),
             "units": F.when(F.col("city") == "NATION_4", -F.col("units")).otherwise(F.col("units")),
         }
     )
+    return rows.select(*KEYS, "sales", "units")
 
 
-def main_part(spark, sf):
-    details = pack_details(spark, sf)
-    return op.delivery_aggregate(
-        signed(spark, sf).filter(F.col("quarter").isin(CURRENT)),
-        details, details, KEYS, CHANNEL, FORMS,
-    )
+class Delivery:
+    """Main part and supplement from one stored set of signed totals."""
+
+    def __init__(self, spark, sf):
+        sums = [sem.sum0(m).alias(m) for m in ("sales", "units")]
+        self.rows = stage(signed(spark, sf).groupBy(*KEYS).agg(*sums), "signed")
+        self.details = stage(pack_details(spark, sf), "details")
+        self.main = stage(main_part(self.rows, self.details), "delivery")
+
+    def supplement(self):
+        return op.class_supplement(
+            self.rows, self.main, self.details, self.details, KEYS, CHANNEL, "C10S", FORMS
+        )
 
 
-def supplement(spark, sf, main):
-    details = pack_details(spark, sf)
-    return op.class_supplement(
-        signed(spark, sf), main, details, details, KEYS, CHANNEL, "C10S", FORMS
+def main_part(rows, details):
+    return op.delivery_aggregate(
+        rows.filter(F.col("quarter").isin(CURRENT)), details, details, KEYS, CHANNEL, FORMS
     )
 
 
 @query(with_(*_DELIVERY[:5], "SELECT * FROM main_"))
 def delivery_aggregate(spark, sf):
-    return main_part(spark, sf)
+    return main_part(signed(spark, sf), pack_details(spark, sf))
 
 
 @query(with_(*_DELIVERY, "SELECT * FROM extra"))
 def class_supplement(spark, sf):
-    return supplement(spark, sf, main_part(spark, sf))
+    return Delivery(spark, sf).supplement()
 
 
 NAMES = {
@@ -146,8 +153,8 @@ _RENAMED = _list(f"{c} AS {n}" for c, n in NAMES.items())
     )
 )
 def channel_union(spark, sf):
-    main = stage(main_part(spark, sf), "delivery")
-    return op.channel_union(main, supplement(spark, sf, main), names=NAMES)
+    parts = Delivery(spark, sf)
+    return op.channel_union(parts.main, parts.supplement(), names=NAMES)
 
 
 _BIDS = """bids AS (

@@ -94,11 +94,16 @@ def segments(spark, sf):
     )
 
 
-def projected_sites(spark, sf):
+def site_markets(spark, sf):
+    """Distinct site × market of the sample."""
+    return b.sample(spark, sf).select("site", "market", "size").distinct()
+
+
+def projected_sites(spark, sf, reporting):
     """The site dimension with size, segment and site-level panel flags."""
     sites = b.sites(spark, sf)
     flagged = op.panel_membership(
-        sites.filter(F.col("est").isNotNull()), b.reporting_sites(spark, sf), "site", "est"
+        sites.filter(F.col("est").isNotNull()), reporting, "site", "est"
     )
     flagged = op.trusted_sites(
         flagged,
@@ -111,13 +116,10 @@ def projected_sites(spark, sf):
     ).select("site", *AREA, "est", "seg", "panel_all", "panel")
 
 
-def flagged_pairs(spark, sf):
+def flagged_pairs(seen):
     market, low, high = b.DOUBTFUL
-    return (
-        b.sample(spark, sf)
-        .filter((F.col("market") == market) & F.col("size").between(low, high))
-        .select("site", "market")
-        .distinct()
+    return seen.filter((F.col("market") == market) & F.col("size").between(low, high)).select(
+        "site", "market"
     )
 
 
@@ -143,8 +145,9 @@ class Projection:
 
     def __init__(self, spark, sf):
         self.observed = stage(observed(spark, sf), "quarter_sales")
-        self.sites = stage(projected_sites(spark, sf), "sites")
-        self.pairs = stage(flagged_pairs(spark, sf), "pairs")
+        seen = stage(site_markets(spark, sf), "site_markets")
+        self.sites = stage(projected_sites(spark, sf, seen), "sites")
+        self.pairs = flagged_pairs(seen)
         self.factors = factors(spark, sf)
 
     def universe(self):
@@ -208,11 +211,12 @@ def panel_flags(spark, sf):
     sites = b.sites(spark, sf)
     markets = [F.lit(m) for m in ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")]
     rows = sites.select("site", "est", F.explode(F.array(*markets)).alias("market"))
+    seen = stage(site_markets(spark, sf), "site_markets")
     return op.panel_flags(
         rows,
-        b.reporting_sites(spark, sf),
+        seen,
         sites.filter(F.col("size") > b.OUTLIER_SIZE),
-        flagged_pairs(spark, sf),
+        flagged_pairs(seen),
         sites.filter(~F.col("size").between(*b.NEW_SITES)),
         "site", "market", "est",
     )

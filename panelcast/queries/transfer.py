@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelcast.config import Periods
+from panelcast.functions import semantics as sem
 from panelcast.operators import price as price_op
 from panelcast.operators import transfer as op
 from panelcast.queries import bindings as b
@@ -84,32 +85,34 @@ _GROWTH_CHAIN = [*_KNN_CHAIN, _WEIGHTS, _NEIGHBOUR, _CASCADE]
 
 
 def region_panel(spark, sf):
-    return b.panel(spark, sf).withColumn("city", F.col("province"))
+    """Monthly sums per region and pack, stored: every step of the transfer reads them."""
+    rows = b.panel(spark, sf).withColumns(
+        {"city": F.col("province"), "sampled": F.col("size") >= b.REPORTING_SIZE}
+    )
+    keys = ["year", "date", "province", "city", "sampled", *SLICE]
+    sums = [sem.sum0(m).alias(m) for m in ("units", "sales")]
+    return stage(rows.groupBy(*keys).agg(*sums), "region_panel")
 
 
-def target(spark, sf):
+def target(panel):
     scope = (F.col("province") == TARGET) & (F.col("quarter") == BEFORE)
-    return op.history_slice(
-        region_panel(spark, sf), scope, SLICE, ["province", "city"], ["units", "sales"]
-    )
+    return op.history_slice(panel, scope, SLICE, ["province", "city"], ["units", "sales"])
 
 
-def own_growth(spark, sf, items):
-    return op.donor_growth(
-        region_panel(spark, sf), F.col("province") == DONOR, TARGET, (BEFORE, AFTER), items, "packid"
-    )
+def own_growth(panel, items):
+    donor = F.col("province") == DONOR
+    return op.donor_growth(panel, donor, TARGET, (BEFORE, AFTER), items, "packid")
 
 
 class Transfer:
     """The chain from the target slice to the cascade; shared inputs are stored once."""
 
     def __init__(self, spark, sf):
-        self.target = stage(target(spark, sf), "target")
-        self.own = stage(own_growth(spark, sf, self.target), "own_growth")
+        self.panel = region_panel(spark, sf)
+        self.target = stage(target(self.panel), "target")
+        self.own = stage(own_growth(self.panel, self.target), "own_growth")
         self.matrix = stage(
-            op.item_period_matrix(
-                b.panel(spark, sf), "packid", "date", "sales", MONTHS, self.own
-            ),
+            op.item_period_matrix(self.panel, "packid", "date", "sales", MONTHS, self.own),
             "matrix",
         )
 
@@ -130,7 +133,8 @@ class Transfer:
 
 @query(with_(*_OWN_CHAIN[:3], "SELECT * FROM target"))
 def history_slice(spark, sf):
-    return target(spark, sf)
+    rows = b.panel(spark, sf).withColumn("city", F.col("province"))
+    return target(rows)
 
 
 @query(
@@ -144,25 +148,24 @@ def history_slice(spark, sf):
     )
 )
 def split_known_missing(spark, sf):
-    history = b.panel(spark, sf).filter(
-        F.col("province").isin(TARGET, DONOR) & (F.col("year") == "1998")
-    )
-    known, missing = op.split_known_missing(target(spark, sf), history, "packid")
+    panel = region_panel(spark, sf)
+    history = panel.filter(F.col("province").isin(TARGET, DONOR) & (F.col("year") == "1998"))
+    known, missing = op.split_known_missing(target(panel), history, "packid")
     both = known.withColumn("known", F.lit(1)).unionByName(missing.withColumn("known", F.lit(0)))
     return both.select("packid", "market", "sales", "known")
 
 
 @query(with_(*_OWN_CHAIN, "SELECT * FROM own"))
 def donor_growth(spark, sf):
-    return own_growth(spark, sf, target(spark, sf))
+    panel = region_panel(spark, sf)
+    return own_growth(panel, target(panel))
 
 
 @query(with_(*_OWN_CHAIN, _MATRIX, "SELECT * FROM matrix"))
 def item_period_matrix(spark, sf):
-    return op.item_period_matrix(
-        b.panel(spark, sf), "packid", "date", "sales", MONTHS,
-        own_growth(spark, sf, target(spark, sf)),
-    )
+    panel = region_panel(spark, sf)
+    own = own_growth(panel, target(panel))
+    return op.item_period_matrix(panel, "packid", "date", "sales", MONTHS, own)
 
 
 @query(with_(*_KNN_CHAIN, "SELECT * REPLACE (round(distance, 6) AS distance) FROM neighbours"))
@@ -256,9 +259,9 @@ grains AS (
     )
 )
 def borrowed_price_ladder(spark, sf):
-    sampled = b.sample(spark, sf).filter(F.col("year") == "2000").withColumn("city", F.col("province"))
-    grains = price_op.relabel_grains(price_op.price_grains(sampled), DONOR, DONOR, TARGET, TARGET)
     t = Transfer(spark, sf)
+    sampled = t.panel.filter(F.col("sampled") & (F.col("year") == "2000"))
+    grains = price_op.relabel_grains(price_op.price_grains(sampled), DONOR, DONOR, TARGET, TARGET)
     grown = stage(op.grow(t.target, t.cascade(), "packid", AFTER), "grown")
     return rounded(op.borrowed_price_ladder(grown, grains), 4, "sales", "units")
 
