@@ -127,6 +127,22 @@ def last_valid(c: str, rank: str | None = None) -> Column:
     return F.max(F.when(F.col(c).isNotNull(), F.struct(F.col(rank), F.col(c))))[c]
 
 
+def sums_with_picks(
+    df: DataFrame, keys: Sequence[str], picks: Mapping[str, Column], measures: Sequence[str]
+) -> DataFrame:
+    """Sums per key together with picked text attributes (first or last valid).
+
+    The smallest or largest text needs a sort-based aggregation. Rows are
+    therefore summed by hash first, with the attributes as part of the key, and
+    only the few distinct combinations go through the second step.
+    """
+    fine = df.groupBy(*keys, *picks).agg(*[exact_sum(m).alias(m) for m in measures])
+    return fine.groupBy(*keys).agg(
+        *[pick.alias(name) for name, pick in picks.items()],
+        *[sum0(m).alias(m) for m in measures],
+    )
+
+
 # --- joins --------------------------------------------------------------------
 
 

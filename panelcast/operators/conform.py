@@ -30,8 +30,17 @@ def lookup_union_distinct(*lookups: DataFrame) -> DataFrame:
 def first_valid_by_key(
     df: DataFrame, key: Sequence[str], attrs: Sequence[str], rank: str | None = None
 ) -> DataFrame:
-    """First non-NULL value of each attribute, independently of the others."""
-    return df.groupBy(*key).agg(*[sem.first_valid(a, rank).alias(a) for a in attrs])
+    """First non-NULL value of each attribute, independently of the others.
+
+    Combinations are made distinct first, by hash aggregation combined on the
+    map side; the sort-based choice of the first text sees only those.
+    """
+    by = [*key, *attrs]
+    if rank is None:
+        combos = df.select(*by).distinct()
+    else:
+        combos = df.groupBy(*by).agg(F.min(rank).alias(rank))
+    return combos.groupBy(*key).agg(*[sem.first_valid(a, rank).alias(a) for a in attrs])
 
 
 def fill_attrs_within_key(
@@ -39,18 +48,11 @@ def fill_attrs_within_key(
 ) -> DataFrame:
     """Write the first valid attributes of a key back to all of its rows.
 
-    Combinations are made distinct first (hash aggregation, combined on the map
-    side), then reduced to one row per key and joined back. No window is used,
-    so a key that owns a large part of the rows never sits in a single task.
+    Reduced to one row per key and joined back. No window is used, so a key that
+    owns a large part of the rows never sits in a single task.
     """
-    by = [*key, *attrs]
-    if rank is None:
-        combos = df.select(*by).distinct()
-    else:
-        combos = df.groupBy(*by).agg(F.min(rank).alias(rank))
-    filled = sem.null_safe_join(
-        df.drop(*attrs), first_valid_by_key(combos, key, attrs, rank), key, "left"
-    )
+    first = first_valid_by_key(df, key, attrs, rank)
+    filled = sem.null_safe_join(df.drop(*attrs), first, key, "left")
     return filled.select(*df.columns)
 
 

@@ -333,10 +333,8 @@ def consolidate_delivery(
     df: DataFrame, keys: Sequence[str], last: Sequence[str], rounding: Mapping[str, int]
 ) -> DataFrame:
     """Final grain: rounded sums and the last description and dosage."""
-    return df.groupBy(*keys).agg(
-        *[sem.last_valid(c).alias(c) for c in last],
-        *[F.bround(sem.sum0(m), digits).alias(m) for m, digits in rounding.items()],
-    )
+    sums = sem.sums_with_picks(df, keys, {c: sem.last_valid(c) for c in last}, list(rounding))
+    return sums.withColumns({m: F.bround(m, digits) for m, digits in rounding.items()})
 
 
 def back_out_allocation(

@@ -22,14 +22,8 @@ def history_slice(
     measures: Sequence[str],
 ) -> DataFrame:
     """Delivered history of one channel, region and period at item grain."""
-    out = (
-        history.filter(scope & F.col("packid").isNotNull() & (F.col("sales") > 0))
-        .groupBy(*keys)
-        .agg(
-            *[sem.first_valid(a).alias(a) for a in attrs],
-            *[sem.sum0(m).alias(m) for m in measures],
-        )
-    )
+    rows = history.filter(scope & F.col("packid").isNotNull() & (F.col("sales") > 0))
+    out = sem.sums_with_picks(rows, keys, {a: sem.first_valid(a) for a in attrs}, measures)
     if {"sales", "units"} <= set(measures):
         out = out.withColumn("price", sem.ratio("sales", "units"))
     return out
