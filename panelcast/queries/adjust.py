@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from panelcast.operators import adjust as op
 from panelcast.operators.deliver import back_out_allocation as back_out
 from panelcast.queries import bindings as b
+from panelcast.queries import price
 from panelcast.queries.registry import query, total, values, with_
 
 MARKETS = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL"]
@@ -115,3 +116,43 @@ def crosstab(spark, sf):
 )
 def back_out_allocation(spark, sf):
     return back_out(split(spark, sf), ALLOCATION, ["sales", "units"])
+
+
+@query(
+    with_(
+        b.SAMPLE, price.BASE, price.grain_sql("base"), price.TARGETS, price.ladder_sql("targets"),
+        """ladder AS (SELECT *, sales / nullif(price, 0) AS units FROM priced
+                      WHERE sales > 0 AND price > 0 AND sales / nullif(price, 0) > 0)""",
+        """moved AS (
+             SELECT * FROM (
+               SELECT l.* REPLACE (CASE WHEN substr(atc3, 1, 3) IN ('C07', 'C08') THEN 'PROMO'
+                                        ELSE market END AS market), substr(atc3, 1, 3) AS atc2
+               FROM ladder l)
+             WHERE NOT (market = 'PROMO' AND molecule = 'Brand#12')
+               AND NOT (market = 'LARGE' AND molecule = 'Brand#3'))""",
+        values(ALLOCATION, ["class", "target", "share"], "allocation"),
+        _GRID,
+        """factors AS (
+             SELECT m.*, coalesce(a.target, m.market) AS new_market, coalesce(a.share, 1.0) AS share,
+                    CAST(s.size >= 1500 AS INTEGER) AS panel
+             FROM moved m LEFT JOIN allocation a ON a.class = m.atc2
+             JOIN sites s ON s.site = m.site)""",
+        """SELECT f.year, f.quarter, f.province, f.city, f.site, f.atc3, f.molecule, f.packid, f.price,
+                  f.atc2, f.panel, f.new_market AS market,
+                  f.sales * f.share * CAST(CASE WHEN f.panel = 1 THEN 1.0 ELSE coalesce(g.factor, 1.0) END
+                                           AS DOUBLE) AS sales,
+                  f.units * f.share * CAST(CASE WHEN f.panel = 1 THEN 1.0 ELSE coalesce(g.factor, 1.0) END
+                                           AS DOUBLE) AS units
+           FROM factors f LEFT JOIN grid g ON g.city = f.city AND g.market = f.new_market""",
+    )
+)
+def adjusted_prices(spark, sf):
+    """Price ladder → reassign and exclude → split → scale of unobserved rows."""
+    moved_rows = op.reassign_and_exclude(
+        price.price_ladder(spark, sf), CLASSES, MARKET, EXCLUDED
+    )
+    parts = op.split_across_markets(moved_rows, ALLOCATION, ["sales", "units"])
+    sizes = b.sites(spark, sf).select(
+        "site", (F.col("size") >= b.REPORTING_SIZE).cast("int").alias("panel")
+    )
+    return op.scale_unobserved(parts.join(sizes, "site"), grid(spark, sf))

@@ -38,8 +38,8 @@ def ladder_sql(target: str) -> str:
     return f"priced AS (SELECT t.*, coalesce({price}) AS price FROM {target} t {joins})"
 
 
-_BASE = "base AS (SELECT * FROM sample WHERE year = '2000')"
-_TARGETS = f"""targets AS (
+BASE = "base AS (SELECT * FROM sample WHERE year = '2000')"
+TARGETS = f"""targets AS (
   SELECT {', '.join(TARGET)}, {total0('sales')} AS sales FROM panel WHERE year = '2000'
   GROUP BY {', '.join(TARGET)})"""
 
@@ -48,14 +48,14 @@ def grains(spark, sf):
     return op.price_grains(b.sample(spark, sf).filter(F.col("year") == "2000"))
 
 
-@query(with_(b.SAMPLE, _BASE, grain_sql("base"), "SELECT * FROM grains"))
+@query(with_(b.SAMPLE, BASE, grain_sql("base"), "SELECT * FROM grains"))
 def price_grains(spark, sf):
     return grains(spark, sf)
 
 
 @query(
     with_(
-        b.SAMPLE, _BASE, grain_sql("base"), _TARGETS, ladder_sql("targets"),
+        b.SAMPLE, BASE, grain_sql("base"), TARGETS, ladder_sql("targets"),
         """SELECT *, sales / nullif(price, 0) AS units FROM priced
            WHERE sales > 0 AND price > 0 AND sales / nullif(price, 0) > 0""",
     )

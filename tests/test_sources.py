@@ -45,6 +45,15 @@ def test_period_sink_replaces_only_its_periods(spark, tmp_path):
     assert tables.read_periods(spark, path).count() == 2
 
 
+def test_delivery_as_delimited_text(spark, tmp_path):
+    path = str(tmp_path / "export")
+    df = spark.createDataFrame([("中标, x", 1.5), (None, 2.0)], "label string, sales double")
+    tables.write_delimited(df, path)
+    columns = {"label": ("label", "string"), "sales": ("sales", "double")}
+    got = {(r.label, r.sales) for r in tables.read_delimited(spark, path, columns).collect()}
+    assert got == {("中标, x", 1.5), (None, 2.0)}
+
+
 def test_stage_uses_the_shared_folder(spark, tmp_path):
     assert stages.stage_folder(spark)
     df = stages.stage(spark.range(5).toDF("x"), "numbers")
