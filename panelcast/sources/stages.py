@@ -7,26 +7,15 @@ size of the intermediate for its join choices.
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-@functools.cache
-def _scratch() -> str:
-    return tempfile.mkdtemp(prefix="panelcast-")
-
-
 def stage_folder(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; a scratch folder in local mode."""
+    """The folder named in spark.checkpoint.dir, else one in the warehouse; both are shared."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    return _scratch()
+    return folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/stages"
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
