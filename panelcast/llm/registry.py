@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Query, str | None]] = {}
 
-MODULES = ["quality", "secrets", "urls"]
+MODULES = ["quality", "secrets", "urls", "mixing", "packing"]
 
 for _module in MODULES:
     REGISTRY.update(importlib.import_module(f"panelcast.llm.{_module}").QUERIES)
