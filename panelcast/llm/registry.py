@@ -7,10 +7,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Query, str | None]] = {}
 
-MODULES = ["quality", "secrets", "urls", "mixing", "packing"]
+MODULES = ["ngram_join", "quality", "secrets", "urls", "mixing", "packing"]
 
 for _module in MODULES:
     REGISTRY.update(importlib.import_module(f"panelcast.llm.{_module}").QUERIES)
+
+REGISTRY["pipeline"] = (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL)
