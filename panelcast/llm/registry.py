@@ -12,7 +12,7 @@ import corpus_pipeline
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Query, str | None]] = {}
 
-MODULES = ["ngram_join", "quality", "secrets", "urls", "mixing", "packing"]
+MODULES = ["ngram_join", "quality", "secrets", "urls", "mixing", "packing", "lm"]
 
 for _module in MODULES:
     REGISTRY.update(importlib.import_module(f"panelcast.llm.{_module}").QUERIES)
