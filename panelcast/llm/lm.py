@@ -102,7 +102,7 @@ def counted(docs: DataFrame, lm: Lm = Lm()) -> DataFrame:
     rows = docs.count()
     chunks, ranges = max(1, -(-rows // lm.chunk_docs)), max(1, -(-rows // lm.range_docs))
     dealt = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), "text", F.expr(f"pmod(xxhash64(doc_id, text), {chunks})").alias("chunk")
+        F.expr("CAST(CAST(doc_id AS bigint) AS string)").alias("doc_id"), "text", F.expr(f"pmod(xxhash64(doc_id, text), {chunks})").alias("chunk")
     )
     edges = (np.arange(1, ranges, dtype=object) * (1 << 64) // ranges).astype(np.uint64)
 
@@ -144,7 +144,7 @@ def counted(docs: DataFrame, lm: Lm = Lm()) -> DataFrame:
             distinct = np.unique(found)
             n = np.concatenate([unplaned(x, 8) for x in answers[answers["kind"] == kind].sort_values("range")["n"]])
             totals[kind] = np.split(n[np.searchsorted(distinct, found)].astype(np.int64), np.cumsum(sizes)[:-1])
-        return pd.DataFrame({"kind": DOCUMENT, "doc_id": part["doc_id"].astype("Int64"), "words": totals[WORD], "pairs": totals[PAIR]})
+        return pd.DataFrame({"kind": DOCUMENT, "doc_id": pd.array([None if pd.isna(d) else int(d) for d in part["doc_id"]], dtype="Int64"), "words": totals[WORD], "pairs": totals[PAIR]})
 
     spread = dealt.repartition("chunk")
     asked = spread.groupBy("chunk").applyInPandas(ask, "range long, chunk long, kind int, grams binary, n binary")

@@ -21,7 +21,6 @@ from dataclasses import dataclass
 from itertools import count
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import public_tokenizers
 from pyspark import TaskContext
@@ -137,7 +136,7 @@ def fills(lengths: np.ndarray, size: int) -> Iterator[tuple[list[int], int]]:
         yield [k for k, v in used.items() for _ in range(v)], times
 
 
-def _packed(rows: pd.DataFrame, size: int, ids: Iterator[int]) -> pd.DataFrame:
+def _packed(rows: pa.Table, size: int, ids: Iterator[int]) -> list[pa.RecordBatch]:
     lengths = rows["length"].to_numpy()
     order = np.argsort(lengths, kind="stable")
     starts = dict(zip(*(x.tolist() for x in np.unique(lengths[order], return_index=True)), strict=True))
@@ -150,7 +149,8 @@ def _packed(rows: pd.DataFrame, size: int, ids: Iterator[int]) -> pd.DataFrame:
                 starts[length] += 1
                 sequence[row], offset[row] = number, at
                 at += length
-    return rows.assign(sequence_id=sequence, offset=offset)
+    rows = rows.append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
+    return rows.to_batches()
 
 
 def pack_pieces(cut: DataFrame, pack: Pack = Pack()) -> DataFrame:
@@ -158,19 +158,19 @@ def pack_pieces(cut: DataFrame, pack: Pack = Pack()) -> DataFrame:
     cut = stage(cut, "pieces")
     tasks = max(1, -(-cut.count() // pack.group))
 
-    def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, held, n = count(TaskContext.get().partitionId() << 36), [], 0
         for batch in batches:
             held.append(batch)
-            n += len(batch)
+            n += batch.num_rows
             if n >= pack.group:
-                yield _packed(pd.concat(held, ignore_index=True), pack.size, ids)
+                yield from _packed(pa.Table.from_batches(held), pack.size, ids)
                 held, n = [], 0
         if n:
-            yield _packed(pd.concat(held, ignore_index=True), pack.size, ids)
+            yield from _packed(pa.Table.from_batches(held), pack.size, ids)
 
     ddl = ", ".join(f"{c} {t}" for c, t in cut.dtypes) + ", sequence_id long, offset long"
-    return cut.repartition(tasks).mapInPandas(fill, ddl)
+    return cut.repartition(tasks).mapInArrow(fill, ddl)
 
 
 def pack_documents(docs: DataFrame, pack: Pack = Pack(), with_ids: bool = False) -> DataFrame:
