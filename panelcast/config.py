@@ -16,18 +16,11 @@ class Periods:
     base_quarter: str = "2019Q2"
     report_quarter: str = "2020Q2"
     external_start: str = "201701"
-    external_end: str = "201912"
 
     @property
     def years(self) -> tuple[str, str]:
         return self.previous_year, self.current_year
 
-    @property
-    def external_months(self) -> list[str]:
-        first, last = (int(p[:4]) * 12 + int(p[4:]) - 1 for p in
-                       (self.external_start, self.external_end))
-        return [f"{m // 12}{m % 12 + 1:02d}" for m in range(first, last + 1)]
-
 
 # --- Fixed values --------------------------------------------------------------
 # Constants of the estimation method. They must be exactly these for results to

@@ -206,17 +206,32 @@ def fan_out_join(
     keys: Sequence[str],
     row_id: str,
     how: str = "inner",
-    rows_per_shard: int = 1000,
+    rows_per_task: int = 200_000,
 ) -> DataFrame:
     """Null-safe join in which every left row of a key meets every right row of it.
 
-    The output of one key is the product of both sides, so a large key would
-    blow up in a single task even if its input is small. Left rows of a key are
-    cut into shards of about ``rows_per_shard``; the right rows of the key are
-    repeated once per shard. Small keys have one shard and are not repeated.
+    The output of one key is the product of both sides, while its input is
+    small, so neither the hash of the key nor measured input sizes spread it.
+    The products are counted first. Left rows of a key are cut into shards by a
+    hash of ``row_id``, several for each task that the key's product is worth,
+    and the right rows of the key are repeated once per shard. Both sides are
+    then dealt by key and shard to a fixed number of tasks, which adaptive
+    coalescing leaves alone.
     """
-    shards = left.groupBy(*keys).agg(
-        F.ceil(F.count(F.lit(1)) / rows_per_shard).alias("_shards")
+    sizes = null_safe_join(
+        left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_left")),
+        right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_right")),
+        keys,
+        "left",
+    ).withColumn("_out", F.col("_left") * F.greatest(F.coalesce("_right", F.lit(1)), F.lit(1)))
+    total = sizes.agg(F.sum("_out")).first()[0] or 0
+    tasks = max(1, -(-int(total) // rows_per_task))
+    shards = sizes.select(
+        *keys,
+        F.when(F.col("_out") <= rows_per_task, F.lit(1))
+        .otherwise(F.least(F.col("_left"), F.ceil(8 * F.col("_out") / rows_per_task)))
+        .cast("bigint")
+        .alias("_shards"),
     )
     placed = null_safe_join(left, shards, keys, "left").withColumn(
         "_shard", F.pmod(F.xxhash64(row_id), "_shards")
@@ -224,9 +239,13 @@ def fan_out_join(
     repeated = null_safe_join(right, shards, keys, "inner").withColumn(
         "_shard", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_shards") - 1))
     )
-    return null_safe_join(
-        placed.drop("_shards"), repeated.drop("_shards"), [*keys, "_shard"], how
-    ).drop("_shard")
+    # One text for key and shard (missing keys are left out of it): a single join
+    # key, so that the given number of partitions serves the join as it is.
+    place = F.to_json(F.struct(*keys, "_shard"))
+    rest = [c for c in right.columns if c not in keys]
+    dealt = placed.withColumn("_place", place).drop("_shards", "_shard").repartition(tasks, "_place")
+    offered = repeated.select(place.alias("_place"), *rest).repartition(tasks, "_place")
+    return dealt.join(offered, "_place", how).select(*left.columns, *rest)
 
 
 def positive(*columns: str) -> Column:

@@ -52,22 +52,27 @@ def split_across_markets(
     return out.withColumns({**scaled, "market": F.col("_part.market")}).drop("_part")
 
 
-def factor_grid(
-    cities: DataFrame,
-    markets: Sequence[str],
-    overrides: Sequence[tuple[str, str | None, float]],
-    default: float = 1.0,
-) -> DataFrame:
-    """City × market factors: default, overridden per city or city and market.
-
-    The first matching rule wins; a rule without a market holds for all.
-    """
+def factor_of(
+    overrides: Sequence[tuple[str, str | None, float]], default: float = 1.0
+) -> Column:
+    """Factor of a city and market; the first matching rule wins, one without a market holds for all."""
     factor = F.lit(float(default))
     for city, market, value in reversed(overrides):
         hit = F.col("city") == city
         if market is not None:
             hit = hit & (F.col("market") == market)
         factor = F.when(hit, F.lit(float(value))).otherwise(factor)
+    return factor
+
+
+def factor_grid(
+    cities: DataFrame,
+    markets: Sequence[str],
+    overrides: Sequence[tuple[str, str | None, float]],
+    default: float = 1.0,
+) -> DataFrame:
+    """City × market factors: default, overridden per city or city and market."""
+    factor = factor_of(overrides, default)
     grid = cities.select("city").distinct().withColumn(
         "market", F.explode(F.array(*[F.lit(m) for m in markets]))
     )
@@ -88,6 +93,19 @@ def scale_unobserved(
     return joined.withColumns({m: F.col(m) * factor for m in measures}).drop("factor")
 
 
+def scale_in_place(
+    df: DataFrame,
+    markets: Sequence[str],
+    overrides: Sequence[tuple[str, str | None, float]],
+    measures: Sequence[str] = ("sales", "units"),
+    default: float = 1.0,
+) -> DataFrame:
+    """scale_unobserved with the factor as an expression of city and market: no grid, no join."""
+    scaled = (F.coalesce("panel", F.lit(0)) != 1) & F.col("market").isin(list(markets))
+    factor = F.when(scaled, factor_of(overrides, default)).otherwise(F.lit(1.0))
+    return df.withColumns({m: F.col(m) * factor for m in measures})
+
+
 def crosstab(
     df: DataFrame, row: str, column: str, names: Mapping[object, str], measure: str
 ) -> DataFrame:

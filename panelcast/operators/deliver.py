@@ -76,9 +76,13 @@ def delivery_aggregate(
     return out
 
 
+def without_class(df: DataFrame, class_code: str) -> DataFrame:
+    """The main part's input without the class that the supplement brings."""
+    return df.filter(sem.not_in("atc3", [class_code]))
+
+
 def class_supplement(
     df: DataFrame,
-    main: DataFrame,
     packs: DataFrame,
     products: DataFrame,
     keys: Sequence[str],
@@ -86,11 +90,10 @@ def class_supplement(
     class_code: str,
     forms: Sequence[str] | None = None,
 ) -> DataFrame:
-    """One class over all quarters and sites, for keys the main part lacks."""
-    extra = delivery_aggregate(
+    """One class over all quarters and sites; the main part is made without the class."""
+    return delivery_aggregate(
         df.filter(F.col("atc3") == class_code), packs, products, keys, channel, forms
     )
-    return sem.null_safe_join(extra, main, keys, "left_anti")
 
 
 def channel_union(*parts: DataFrame, names: Mapping[str, str]) -> DataFrame:
@@ -181,13 +184,25 @@ def maker_type_bucket(
 def molecule_flag(
     bids: DataFrame, molecules: DataFrame, label: str, exceptions: Sequence[str]
 ) -> DataFrame:
-    """Molecule-level flag from pack rows, on all molecules, plus named ones."""
+    """Molecule-level flag from all bid rows of the packs, on all molecules, plus named ones.
+
+    A molecule may have several names and a product several bid labels: it is
+    flagged if any of them says so.
+    """
     flagged = bids.filter(F.col("name1") == label).select("molecule", "name1").distinct()
     all_molecules = sem.null_safe_join(flagged, molecules, ["molecule"], "right")
     forced = F.col("molecule_name").isin(list(exceptions))
-    return all_molecules.withColumn(
+    named = all_molecules.withColumn(
         "name1", F.when(forced, F.lit(label)).otherwise(F.col("name1"))
-    ).select("molecule", "name1")
+    )
+    return named.groupBy("molecule").agg(F.max("name1").alias("name1"))
+
+
+def bid_labels(rows: DataFrame, bids: DataFrame) -> DataFrame:
+    """Every bid label of the products of each molecule."""
+    packs = rows.select("molecule", F.substring("packid", 1, 5).alias("product_code")).distinct()
+    labels = bids.select("product_code", "name1").distinct()
+    return sem.null_safe_join(packs, labels, ["product_code"]).select("molecule", "name1").distinct()
 
 
 def origin_classification(
@@ -302,19 +317,29 @@ def restate_history(
     positive: Sequence[str],
     form_ok: Column,
 ) -> DataFrame:
-    """History with the new periods appended and one slice replaced.
+    """History with the restated periods replaced, and one slice of them taken from the override.
 
+    What the history already holds of a restated quarter and channel makes way
+    for the new rows, so that a second run on the result gives the same result.
     ``replaced_slice`` says which (channel, city, pack) rows the override takes
-    over in the restated periods. The result is keyed by quarter, so the sink
-    overwrites only the partitions it contains.
+    over in the restated periods.
     """
     current = F.col("quarter").isin(list(periods))
+    restated = new_rows.filter(current).select("quarter", "channel").unionByName(
+        override.filter(current).select("quarter", "channel")
+    )
+    history = sem.null_safe_join(history, restated.distinct(), ["quarter", "channel"], "left_anti")
     appended = history.unionByName(new_rows.filter(current), allowMissingColumns=True)
     valid = appended.filter(sem.positive(*positive) & form_ok)
     kept = valid.filter(~F.coalesce(replaced_slice & current, F.lit(False)))
     return kept.unionByName(override.filter(current), allowMissingColumns=True)
 
 
+def restated_periods(delivered: DataFrame, periods: Sequence[str]) -> DataFrame:
+    """The restated periods alone: what the sink has to overwrite."""
+    return delivered.filter(F.col("quarter").isin(list(periods)))
+
+
 def mat_label(df: DataFrame, end: str, windows: int = 3, quarter: str = "quarter") -> DataFrame:
     """Label of the four-quarter window, counted back from the reporting quarter."""
     end_year, end_quarter = int(end[:4]), int(end[5])

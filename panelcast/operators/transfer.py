@@ -69,6 +69,18 @@ def donor_growth(
     )
 
 
+def months_from(external: DataFrame, period: str, start: str) -> list[str]:
+    """Months from the start to the last one with sales; one aggregated value is read.
+
+    There is no end setting: what the external source delivers decides it.
+    """
+    last = external.filter(F.col(period) >= start).agg(F.max(period)).first()[0]
+    if last is None:
+        return []
+    first, end = (int(p[:4]) * 12 + int(p[4:6]) - 1 for p in (start, last))
+    return [f"{m // 12}{m % 12 + 1:02d}" for m in range(first, end + 1)]
+
+
 def item_period_matrix(
     external: DataFrame,
     item: str,
@@ -112,8 +124,12 @@ def _train_scale(train: DataFrame, vector: str) -> DataFrame:
     return per_position.agg(F.transform(ordered, lambda x: x["sd"]).alias("sd"))
 
 
-def _nearest_in_block(k: int, rows_at_once: int = 64):
-    """k nearest train rows of one block for each test row of one block."""
+def _nearest_in_block(k: int, budget_bytes: int = 64 << 20):
+    """k nearest train rows of one block for each test row of one block.
+
+    As many test rows are compared at once as keep the differences within the
+    budget, whatever the length of the vectors.
+    """
 
     def nearest(test: pd.DataFrame, train: pd.DataFrame) -> pd.DataFrame:
         if test.empty or train.empty:
@@ -124,6 +140,7 @@ def _nearest_in_block(k: int, rows_at_once: int = 64):
         names, items = train["neighbour"].to_numpy(), test["item"].to_numpy()
         width = min(k, len(train))
         picks, gaps = [], []
+        rows_at_once = max(1, budget_bytes // max(1, points.nbytes))
         for start in range(0, len(queries), rows_at_once):
             diff = queries[start : start + rows_at_once, None, :] - points[None, :, :]
             gap = np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))

@@ -75,13 +75,16 @@ def panel_job(inputs: PanelInputs, periods: Periods) -> DataFrame:
     places = conform.first_valid_by_key(names, ["site"], AREA)
     markets = pack_markets(inputs.packs, inputs.markets)
 
+    def padded(df: DataFrame) -> DataFrame:
+        """Ids in one width; before duplicates are removed, so that both spellings are one sale."""
+        return df.withColumn("packid", sem.pad_id("packid"))
+
     def with_market(df: DataFrame) -> DataFrame:
-        padded = df.withColumn("packid", sem.pad_id("packid"))
-        return sem.null_safe_join(padded, markets, ["packid"], "left")
+        return sem.null_safe_join(padded(df), markets, ["packid"], "left")
 
     facts = ["year", "date", "quarter", *AREA, "site", *PACK, "units", "sales"]
     city_history = conform.coalesce_join(
-        inputs.city_history.distinct(), names, ["province", "city", "hospital"], ["district", "site"]
+        padded(inputs.city_history).distinct(), names, ["province", "city", "hospital"], ["district", "site"]
     )
     city_history = with_market(city_history.filter(F.col("site").isNotNull())).select(*facts)
     total_history = conform.recode_ids(
@@ -102,7 +105,7 @@ def panel_job(inputs: PanelInputs, periods: Periods) -> DataFrame:
         rows = conform.derive_periods(feed, "period").withColumns(
             {"province": F.lit(inputs.feed_province), "city": F.lit(inputs.feed_city)}
         )
-        rows = rows.drop("period").distinct()
+        rows = padded(rows.drop("period")).distinct()
         rows = sem.lookup_join(rows, names, ["province", "city", "hospital"], ["district", "site"])
         city_feeds.append(with_market(rows).select(*facts))
 
@@ -213,10 +216,7 @@ def price_adjust_job(projected: DataFrame, panel: DataFrame, periods: Periods) -
         priced, cfg.REASSIGNED_CLASSES, cfg.REASSIGNED_MARKET, cfg.EXCLUDED_MOLECULES
     )
     split = adjust.split_across_markets(moved, cfg.ALLOCATION, ["sales", "units"])
-    grid = adjust.factor_grid(
-        panel.select("city").distinct(), cfg.SCALED_MARKETS, cfg.SCALE_OVERRIDES
-    )
-    return adjust.scale_unobserved(split, grid)
+    return adjust.scale_in_place(split, cfg.SCALED_MARKETS, cfg.SCALE_OVERRIDES)
 
 
 # --- 5. growth transfer ---------------------------------------------------------
@@ -248,10 +248,11 @@ def transfer_job(
         ),
         "own_growth",
     )
-    months = periods.external_months
     outside = external.filter(F.col("geography") == cfg.EXTERNAL_GEOGRAPHY).withColumns(
         {"period": F.regexp_replace("period", "M", ""), "packid": sem.pad_id("packid")}
     )
+    outside = stage(outside, "external")
+    months = transfer.months_from(outside, "period", periods.external_start)
     matrix = stage(
         transfer.item_period_matrix(outside, "packid", "period", "sales", months, own), "matrix"
     )
@@ -347,9 +348,10 @@ def current_channels(inputs: DeliveryInputs, periods: Periods) -> DataFrame:
     facts = [*PLACE_PACK, "units", "sales"]
     rows = sampled.select(*facts).unionByName(inputs.transferred.select(*facts))
     args = (packs, products, PLACE_PACK, cfg.OVERRIDE_CHANNEL)
+    rows = deliver.without_class(rows, cfg.SUPPLEMENT_CLASS)
     main = stage(deliver.delivery_aggregate(rows, *args, cfg.ORAL_FORMS), "delivery")
     extra = deliver.class_supplement(
-        inputs.adjusted, main, *args, cfg.SUPPLEMENT_CLASS, cfg.ORAL_FORMS
+        inputs.adjusted, *args, cfg.SUPPLEMENT_CLASS, cfg.ORAL_FORMS
     )
     names = {c: c for c in DELIVERED if c in main.columns}
     return deliver.channel_union(main, extra, inputs.second_channel, names=names)
@@ -368,11 +370,10 @@ def enrich(rows: DataFrame, inputs: DeliveryInputs) -> DataFrame:
         {
             "maker": ("corp_desc", "maker_type"),
             "class": ("atc3", "class_name"),
-            "molecule": ("molecule", "molecule_name"),
         },
     )
     molecules = deliver.molecule_flag(
-        out.select("molecule", "name1").distinct(), lookups["molecule"],
+        deliver.bid_labels(rows, bids), inputs.nature.select("molecule", "molecule_name").distinct(),
         cfg.BID_MOLECULE_LABEL, cfg.BID_MOLECULES,
     )
     makers = deliver.maker_type_bucket(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from panelcast.functions import semantics as sem
 from panelcast.operators import price as op
 from panelcast.queries import bindings as b
-from panelcast.queries.registry import query, total0, using, with_
+from panelcast.queries.registry import query, total0, with_
 from panelcast.sources.stages import stage
 
 TARGET = ["year", "quarter", "province", "city", "site", "market", "atc3", "molecule", "packid"]
@@ -25,13 +25,14 @@ def grain_sql(source: str) -> str:
             f"{total0('sales')} / nullif({total0('units')}, 0) AS price FROM {source} "
             f"WHERE sales > 0 AND units > 0 GROUP BY {', '.join(['packid', *keys])}"
         )
-    return "grains AS (" + "\nUNION ALL ".join(parts) + ")"
+    return "grains AS MATERIALIZED (" + "\nUNION ALL ".join(parts) + ")"
 
 
 def ladder_sql(target: str) -> str:
     """The six left joins written out."""
     joins = "\n".join(
-        f"LEFT JOIN grains g{i} ON g{i}.grain = '{name}' AND {using(['packid', *keys], 't', f'g{i}')}"
+        f"LEFT JOIN (SELECT {', '.join(['packid', *keys])}, price FROM grains WHERE grain = '{name}') g{i} "
+        f"ON {' AND '.join(f't.{k} = g{i}.{k}' for k in ['packid', *keys])}"
         for i, (name, keys) in enumerate(op.LADDER.items())
     )
     price = ", ".join(f"g{i}.price" for i in range(len(op.LADDER)))

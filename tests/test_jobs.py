@@ -10,7 +10,7 @@ from panelcast.config import Periods
 from panelcast.operators import conform, deliver
 from panelcast.plans import jobs
 
-PERIODS = Periods(external_start="201910", external_end="201912")
+PERIODS = Periods(external_start="201910")
 PACKS = {  # pack → class, molecule, market, description
     "1000001": ("C09A1", "PERIN", "HTN", "TAB 10MG 30"),
     "1000002": ("C07A0", "BISO", "IHD", "TAB 5MG 20"),

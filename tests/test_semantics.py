@@ -104,6 +104,14 @@ def test_fan_out_join_equals_a_plain_join(spark):
     )
     for how in ("inner", "left"):
         plain = sem.null_safe_join(left, right, ["area"], how)
-        cut = sem.fan_out_join(left, right, ["area"], "site", how, rows_per_shard=6)
+        cut = sem.fan_out_join(left, right, ["area"], "site", how, rows_per_task=6)
         assert cut.columns == plain.columns
         assert values(cut, "site", "area", "pack") == values(plain, "site", "area", "pack")
+
+
+def test_one_hot_area_is_written_by_many_tasks(spark):
+    left = spark.range(4000).select(F.col("id").alias("site"), F.lit("hot").alias("area"))
+    right = spark.range(300).select(F.lit("hot").alias("area"), F.col("id").alias("pack"))
+    out = sem.fan_out_join(left, right, ["area"], "site", rows_per_task=100_000)
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 1_200_000 and len(sizes) == 12 and max(sizes) < 250_000

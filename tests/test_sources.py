@@ -60,17 +60,15 @@ def test_stage_uses_the_shared_folder(spark, tmp_path):
     assert df.count() == 5 and "numbers-" in df.inputFiles()[0]
 
 
-def test_no_machine_local_stage_on_a_cluster():
-    class Context:
-        master = "yarn"
-
-    class Conf:
-        @staticmethod
-        def get(key, default=None):
-            return default
-
+def test_stages_go_to_shared_folders_only():
     class Session:
-        sparkContext, conf = Context, Conf
+        class conf:  # noqa: N801
+            settings = {"spark.sql.warehouse.dir": "store://house/"}
+
+            @classmethod
+            def get(cls, key, default=None):
+                return cls.settings.get(key, default)
 
-    with pytest.raises(ValueError):
-        stages.stage_folder(Session)
+    assert stages.stage_folder(Session) == "store://house/stages"
+    Session.conf.settings["spark.checkpoint.dir"] = "store://shared"
+    assert stages.stage_folder(Session) == "store://shared"
