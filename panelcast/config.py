@@ -32,6 +32,9 @@ PROVINCE_SUFFIX = "省|市"
 CITY_SUFFIX = "市"
 MUNICIPAL_LABEL = "市辖区"
 MUNICIPAL_CITY = "北京"
+FEED_PROVINCE = "广东"
+FEED_CITY = "广州"
+EXTRA_SIZE_PROVINCE = "山东"
 
 PACK_PREFIX_RECODES = {"47775": "58906", "06470": "64895"}
 SITE_RECODES = {"PCHC09264": "PCHC04241"}

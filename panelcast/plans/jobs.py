@@ -1,7 +1,9 @@
 """The seven jobs of a reporting round, from feeds to the restated delivery.
 
-Each job takes canonical DataFrames and returns a lazy DataFrame. A result that
-several later steps read is stored as a stage table.
+Each job takes canonical DataFrames, stores its result as a stage table and
+returns that, so that the next job scans neither the feeds nor the steps before
+again. What several steps of a job read is stored too. Checks of the results
+are in ``panelcast.plans.checks``.
 """
 
 from __future__ import annotations
@@ -50,8 +52,8 @@ class PanelInputs:
     universe: DataFrame
     packs: DataFrame
     markets: DataFrame
-    feed_province: str = "广东"
-    feed_city: str = "广州"
+    feed_province: str = cfg.FEED_PROVINCE
+    feed_city: str = cfg.FEED_CITY
     alternative_name: str | None = None
 
 
@@ -70,7 +72,8 @@ def pack_markets(packs: DataFrame, markets: DataFrame) -> DataFrame:
     return conform.market_definition(markets, reference).drop("atc2")
 
 
-def panel_job(inputs: PanelInputs, periods: Periods) -> DataFrame:
+def panel_rows(inputs: PanelInputs) -> DataFrame:
+    """All feeds with places, sites and markets, before the gate; ``checks.gate_losses`` reads them."""
     names = site_names(inputs.universe, inputs.alternative_name)
     places = conform.first_valid_by_key(names, ["site"], AREA)
     markets = pack_markets(inputs.packs, inputs.markets)
@@ -116,13 +119,18 @@ def panel_job(inputs: PanelInputs, periods: Periods) -> DataFrame:
     provincial = with_market(provincial).select(*facts, "product")
 
     total = conform.union_feeds(provincial, *city_feeds, history)
+    return total
+
+
+def panel_job(inputs: PanelInputs, periods: Periods) -> DataFrame:
+    total = stage(panel_rows(inputs), "panel_rows")
     total = conform.validity_gate(
         total, ["site", "market"], ["units", "sales"], {"site": cfg.NOT_AVAILABLE},
         periods.panel_quarters,
     )
     total = conform.recode_ids(total, prefix={"packid": cfg.PACK_PREFIX_RECODES})
     total = conform.fill_attrs_within_key(total, ["site"], AREA, "source_rank")
-    return conform.canonical_panel(total, PANEL_KEYS)
+    return stage(conform.canonical_panel(total, PANEL_KEYS), "panel")
 
 
 # --- 2. imputation --------------------------------------------------------------
@@ -131,12 +139,14 @@ def panel_job(inputs: PanelInputs, periods: Periods) -> DataFrame:
 def impute_job(panel: DataFrame, periods: Periods, cities: Sequence[str] | None = None) -> DataFrame:
     """Observed panel with the estimated months of the target cities."""
     wanted = cfg.IMPUTED_CITIES if cities is None else cities
-    scope = impute.with_quarter_parts(panel.filter(F.col("city").isin(list(wanted))))
+    scope = stage(
+        impute.with_quarter_parts(panel.filter(F.col("city").isin(list(wanted)))), "impute_scope"
+    )
     cont = impute.period_continuity(scope, CELL, periods.years)
     growth = impute.bounded_growth(scope, cont, CELL, GROWTH, periods.years)
     wide = impute.impute_paired_period(scope, cont, growth, CELL, ITEM, GROWTH, periods.years)
     long = impute.rebuild_periods(impute.unpivot_compound(wide, ["flag", "sales"], "year"))
-    return impute.merge_imputed(panel, long, IMPUTED_KEYS)
+    return stage(impute.merge_imputed(panel, long, IMPUTED_KEYS), "imputed")
 
 
 # --- 3. projection --------------------------------------------------------------
@@ -153,7 +163,7 @@ class ProjectInputs:
     outliers: DataFrame
     flagged_pairs: DataFrame
     factors: DataFrame
-    extra_size_province: str = "山东"
+    extra_size_province: str = cfg.EXTRA_SIZE_PROVINCE
 
 
 def project_job(inputs: ProjectInputs, periods: Periods) -> DataFrame:
@@ -202,7 +212,7 @@ def project_job(inputs: ProjectInputs, periods: Periods) -> DataFrame:
         for p in (scored, equal)
     ]
     keys = ["year", "quarter", "province", "city", "site", *PACK, "panel"]
-    return project.projection_rollup(*parts, keys=keys)
+    return stage(project.projection_rollup(*parts, keys=keys), "projected")
 
 
 # --- 4. price and adjustment ----------------------------------------------------
@@ -216,16 +226,26 @@ def price_adjust_job(projected: DataFrame, panel: DataFrame, periods: Periods) -
         priced, cfg.REASSIGNED_CLASSES, cfg.REASSIGNED_MARKET, cfg.EXCLUDED_MOLECULES
     )
     split = adjust.split_across_markets(moved, cfg.ALLOCATION, ["sales", "units"])
-    return adjust.scale_in_place(split, cfg.SCALED_MARKETS, cfg.SCALE_OVERRIDES)
+    return stage(
+        adjust.scale_in_place(split, cfg.SCALED_MARKETS, cfg.SCALE_OVERRIDES), "adjusted"
+    )
 
 
 # --- 5. growth transfer ---------------------------------------------------------
 
 
 def transfer_job(
-    history: DataFrame, panel: DataFrame, external: DataFrame, periods: Periods
+    history: DataFrame,
+    panel: DataFrame,
+    external: DataFrame,
+    periods: Periods,
+    own_prices: bool = False,
 ) -> DataFrame:
-    """Current-period estimate of the target city from donor and neighbour growth."""
+    """Current-period estimate of the target city from donor and neighbour growth.
+
+    Units come from the prices of the donor city, or with ``own_prices`` from the
+    target's own prices of the base quarter and the listed overrides.
+    """
     recoded = conform.recode_ids(
         history.withColumn("packid", sem.pad_id("packid")),
         prefix={"packid": cfg.PACK_PREFIX_RECODES},
@@ -260,6 +280,11 @@ def transfer_job(
     weights = transfer.inverse_distance_weights(near, "packid")
     borrowed = transfer.neighbour_weighted_growth(weights, own, "packid")
     growth = transfer.growth_cascade(target, own, borrowed, matrix, "packid", cfg.TRANSFER_TARGET)
+    if own_prices:
+        own_priced = transfer.apply_growth(
+            target, growth, cfg.PRICE_OVERRIDES, "packid", periods.report_quarter
+        )
+        return stage(own_priced.select(*PLACE_PACK, "units", "sales", "price"), "transferred")
     grown = stage(transfer.grow(target, growth, "packid", periods.report_quarter), "grown")
 
     grains = price.price_grains(panel.filter(F.col("year") == periods.current_year))
@@ -267,7 +292,7 @@ def transfer_job(
         grains, cfg.TRANSFER_DONOR, cfg.TRANSFER_DONOR, cfg.TRANSFER_TARGET, cfg.TRANSFER_TARGET
     )
     priced = transfer.borrowed_price_ladder(grown, relabelled)
-    return priced.select(*PLACE_PACK, "units", "sales", "price")
+    return stage(priced.select(*PLACE_PACK, "units", "sales", "price"), "transferred")
 
 
 # --- 6. second channel ----------------------------------------------------------
@@ -364,6 +389,7 @@ def enrich(rows: DataFrame, inputs: DeliveryInputs) -> DataFrame:
     bids = deliver.clean_bid_labels(
         inputs.bids, cfg.MERGED_BID_LABELS, cfg.MERGED_BID_LABEL, cfg.BID_SUFFIX
     )
+    rows = stage(rows, "channels")
     out = deliver.policy_flags(rows, cities.withColumn("city", suffixed), bids)
     lookups = deliver.reference_split(
         inputs.nature,
@@ -398,7 +424,7 @@ def enrich(rows: DataFrame, inputs: DeliveryInputs) -> DataFrame:
 
 def delivery_job(inputs: DeliveryInputs, periods: Periods) -> DataFrame:
     """The delivered history restated with the reporting quarter."""
-    new_rows = enrich(current_channels(inputs, periods), inputs)
+    new_rows = stage(enrich(current_channels(inputs, periods), inputs), "enriched")
     padded = inputs.history.withColumn("packid", sem.pad_id("packid"))
     corp = F.col("corp_desc")
     for product, name in cfg.CORP_BY_PRODUCT.items():

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from panelcast import config as cfg
 from panelcast.config import Periods
 from panelcast.operators import conform, deliver
-from panelcast.plans import jobs
+from panelcast.plans import checks, jobs
 
 PERIODS = Periods(external_start="201910")
 PACKS = {  # pack → class, molecule, market, description
@@ -88,9 +88,7 @@ def inputs(rows):
 
 @pytest.fixture(scope="module")
 def panel(inputs):
-    from panelcast.sources.stages import stage
-
-    return stage(jobs.panel_job(inputs["panel"], PERIODS), "test-panel")
+    return jobs.panel_job(inputs["panel"], PERIODS)
 
 
 def test_panel(panel):
@@ -108,9 +106,7 @@ def test_panel(panel):
 
 @pytest.fixture(scope="module")
 def adjusted(inputs, panel, rows):
-    from panelcast.sources.stages import stage
-
-    imputed = stage(jobs.impute_job(panel, PERIODS), "test-imputed")
+    imputed = jobs.impute_job(panel, PERIODS)
     may = imputed.filter((F.col("site") == "苏州0") & (F.col("date") == "202005")).collect()
     # Growth of the city: 1800 in 2019Q2, 1700 in 2020Q2, where the month is missing.
     estimate = 100 * 1700 / 1800
@@ -128,7 +124,6 @@ def adjusted(inputs, panel, rows):
         ),
         PERIODS,
     )
-    projected = stage(projected, "test-projected")
     q2 = {(r.site, r.packid): r.sales for r in projected.filter("quarter = '2020Q2'").collect()}
     # Suzhou: sites 0-2 report at sizes 1000, 2000, 3000. Site 5 is in the sample
     # (through history), with a size of 6000 and no sales in 2020.
@@ -137,7 +132,7 @@ def adjusted(inputs, panel, rows):
     assert math.isclose(q2[("苏州1", "1000001")], 600.0)
     # Fuzhou: two of four sites report; the others get a quarter of the total each.
     assert math.isclose(q2[("福州3", "1000001")], (200.0 + 100 * 800 / 900 + 600.0) / 4, rel_tol=1e-6)
-    return stage(jobs.price_adjust_job(projected, panel, PERIODS), "test-adjusted")
+    return jobs.price_adjust_job(projected, panel, PERIODS)
 
 
 def test_adjustment(adjusted):
@@ -163,6 +158,31 @@ def test_transfer(transferred):
         assert (q, city, price) == ("2020Q2", "上海", 10.0) and math.isclose(sales, 500 * 1700 / 1800)
 
 
+def test_transfer_with_own_prices(inputs, panel):
+    out = jobs.transfer_job(inputs["history"], panel, inputs["external"], PERIODS, own_prices=True)
+    assert {(r.packid, r.price) for r in out.collect()} >= {("1000001", 10.0)}
+    assert all(math.isclose(r.units, r.sales / r.price) for r in out.collect())
+
+
+def test_checks_of_a_round(inputs, panel, adjusted):
+    lost = checks.gate_losses(jobs.panel_rows(inputs["panel"]), PERIODS.panel_quarters, cfg.NOT_AVAILABLE)
+    reasons = {r.reason: r.n_rows for r in lost.collect()}
+    assert set(reasons) == {"other quarter"} and reasons["other quarter"] == 1
+    totals = checks.panel_totals(panel)
+    assert math.isclose(totals.agg({"sales": "sum"}).first()[0], panel.agg({"sales": "sum"}).first()[0])
+    verdict = checks.projection_checks(panel, adjusted)["unique_match"].first()
+    assert verdict.lookup == "projection"
+    split = checks.adjustment_checks(adjusted)["by_panel"].filter("city = '苏州'").first()
+    assert split.observed > 0 and split.unobserved > 0
+    broken = checks.lost_rows(panel.limit(3).withColumn("sales", F.lit(2.0)), {"a": F.lit(True), "b": F.col("units").isNull()})
+    assert [(r.reason, r.n_rows, r.sales) for r in broken.collect()] == [("a", 3, 6.0)]
+
+
+def test_jobs_store_what_they_return(adjusted, panel):
+    plan = adjusted._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan and panel.inputFiles()
+
+
 def test_second_channel(inputs):
     from panelcast.plans.jobs import channel_job, pack_markets
 
