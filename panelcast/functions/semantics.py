@@ -38,17 +38,21 @@ def ratio(numerator: ColumnLike, denominator: ColumnLike) -> Column:
 
 
 def exact_sum(c: ColumnLike) -> Column:
-    """Sum as double, taken to the millionth; NULL for no values.
+    """Sum as double, whatever the order of the rows; NULL for no values.
 
-    Whole units and millionths are summed as two integer totals. Integer sums
-    do not depend on the order of the rows, so the result is the same whatever
-    the partitioning or the retries, at the cost of a plain long sum.
+    Whole units and billionths are summed as two integer totals, so the result
+    doesn't depend on partitioning or retries. Values that are infinite, no
+    number, or too large to have billionths (from 10^15) are summed as they are.
     """
     x = col(c).cast("double")
-    whole = F.floor(x)
-    millionths = F.floor((x - whole) * 1e6 + 0.5)
-    total = F.sum(whole).cast("decimal(19,0)") * 1000000 + F.sum(millionths)
-    return total.cast("double") / 1e6
+    plain = F.isnan(x) | (F.abs(x) >= 1e15)
+    fine = F.when(~plain, x)
+    whole = F.floor(fine)
+    billionths = F.floor((fine - whole) * 1e9 + 0.5)
+    units = F.sum(whole.cast("decimal(19,0)")).cast("decimal(28,0)")
+    total = units * F.lit(1_000_000_000).cast("decimal(10,0)") + F.sum(billionths.cast("decimal(11,0)"))
+    exact, rest = total.cast("double") / 1e9, F.sum(F.when(plain, x))
+    return F.when(rest.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + rest)
 
 
 def sum0(c: ColumnLike) -> Column:

@@ -26,11 +26,11 @@ def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
 
 
 def total(x: str) -> str:
-    """SQL of a sum taken to the millionth (NULL for no values)."""
+    """SQL of a sum of whole units and billionths (NULL for no values)."""
     x = f"CAST({x} AS DOUBLE)"
     return (
-        f"(CAST(sum(CAST(floor({x}) AS BIGINT)) * 1000000"
-        f" + sum(CAST(floor(({x} - floor({x})) * 1000000 + 0.5) AS BIGINT)) AS DOUBLE) / 1000000)"
+        f"(CAST(sum(CAST(floor({x}) AS BIGINT)) * 1000000000"
+        f" + sum(CAST(floor(({x} - floor({x})) * 1000000000 + 0.5) AS BIGINT)) AS DOUBLE) / 1000000000)"
     )
 
 

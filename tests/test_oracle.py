@@ -7,6 +7,8 @@ from check import compare, duck
 from panelcast.queries import REGISTRY
 
 SF = "/root/testdata/sf0.001"
+#: Queries without a row at this size: their place or segment has no sales yet.
+EMPTY = {"channel_extract", "dosage_units", "dosage_form_gate", "second_channel", "equal_share_allocation"}
 
 
 @pytest.fixture(scope="module")
@@ -22,7 +24,7 @@ def test_every_query_has_sql():
 @pytest.mark.parametrize("name", list(REGISTRY))
 def test_query_equals_sql(spark, con, name):
     problem = compare(spark, con, SF, entry.queries()[name], entry.oracle_sql()[name])
-    assert problem in ("", "no rows")
+    assert problem == ("no rows" if name in EMPTY else "")
 
 
 def test_entry(spark):

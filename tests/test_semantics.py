@@ -115,3 +115,11 @@ def test_one_hot_area_is_written_by_many_tasks(spark):
     out = sem.fan_out_join(left, right, ["area"], "site", rows_per_task=100_000)
     sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(sizes) == 1_200_000 and len(sizes) == 12 and max(sizes) < 250_000
+
+
+def test_sums_keep_small_infinite_and_huge_addends(rows):
+    df = rows("g string, x double", *[("small", 4e-7)] * 3, ("huge", 9e18), ("huge", 9e18), ("inf", float("inf")), ("inf", 1.5),
+              ("nan", float("nan")), ("nan", 1.0), ("cents", 0.1), ("cents", 0.2), ("none", None), ("mixed", -2e15), ("mixed", 0.25))
+    got = {r.g: r.s for r in df.groupBy("g").agg(sem.exact_sum("x").alias("s")).collect()}
+    assert got.pop("nan") != got.get("nan") and got.pop("none") is None
+    assert got == {"small": 1.2e-6, "huge": 1.8e19, "inf": float("inf"), "cents": 0.3, "mixed": -2e15 + 0.25}
