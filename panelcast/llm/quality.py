@@ -202,8 +202,60 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         measure(table(spark, sf_dir, "documents")).select("doc_id", "lang", "_base", "_classes", "_common"), "quality"
     )
     return judge(measured, references(measured)).select(
-        "doc_id", "_base.*", "base_failed", "kept", "class_distance", "word_distance"
+        "doc_id", "_base.*", "base_failed", "kept"
     )
 
 
-QUERIES = {"op6_quality_rules": (op6, None)}
+def _sql(rules: Rules = Rules()) -> str:
+    """The same rules for another engine: windows and words as rows, histograms as lists."""
+
+    def n_of(pattern: str) -> str:
+        return f"length(t) - length(regexp_replace(t, '{pattern}', '', 'g'))"
+
+    def distance(counts: str, shares: str) -> str:
+        p, q = f"({counts}[i] / list_sum({counts}))", f"{shares}[i]"
+        return f"""sqrt(greatest(0, list_sum(list_transform(range(1, len({counts}) + 1), lambda i:
+          CASE WHEN {p} > 0 THEN {p} * log2(2 * {p} / ({p} + {q})) ELSE 0 END
+          + CASE WHEN {q} > 0 THEN {q} * log2(2 * {q} / ({p} + {q})) ELSE 0 END)) / 2))"""
+
+    hits = " ".join(
+        f"WHEN '{k}' THEN [" + ", ".join(f"len(list_filter(ws, lambda x: x = '{w}'))" for w in v.split()) + "]"
+        for k, v in COMMON_WORDS.items()
+    )
+    w, small, capital, blank = rules.window, n_of("[a-z]"), n_of(r"\p{Lu}"), r"\x20\x09-\x0D"
+    lines = f"list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^{blank}]'))"
+    symbols = n_of("[#*$%&|<>]")
+    parts = [small, n_of(f"[{blank}]"), capital, f"{n_of(r'[\p{L}\p{M}]')} - ({small}) - ({capital})"]
+    parts += [n_of(r"\p{N}"), n_of('[.,;:!?"()-]'), symbols]
+    return f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^{blank}]+') AS ws FROM documents),
+win AS (
+  SELECT rid, i, array_to_string(ws[i:i + {w - 1}], ' ') AS k
+  FROM (SELECT rid, ws, unnest(range(1, len(ws) - {w - 2})) AS i FROM d WHERE len(ws) >= {w})),
+dup AS (SELECT rid, i FROM win QUALIFY count(*) OVER (PARTITION BY rid, k) > 1),
+covered AS (
+  SELECT rid, count(DISTINCT j) AS n FROM (SELECT rid, unnest(range(i, i + {w})) AS j FROM dup) GROUP BY rid),
+m AS (
+  SELECT d.*, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars, {symbols} AS n_symbols,
+         len({lines}) AS n_lines, len(list_distinct({lines})) AS n_kinds, coalesce(c.n, 0) AS n_repeat_words,
+         [{', '.join(parts)}] AS part, CASE lang {hits} END AS hits
+  FROM d LEFT JOIN covered c ON c.rid = d.rid),
+h AS (
+  SELECT *, part || [length(t) - list_sum(part)] AS classes, hits || [n_words - list_sum(hits)] AS common,
+         n_words < {rules.min_words} OR 100 * n_repeat_words > {rules.max_repeat_percent} * n_words AS base_failed FROM m),
+sums AS (
+  SELECT lang, [{', '.join(f'sum(classes[{i}])' for i in range(1, 9))}] AS c,
+         [{', '.join(f'sum(common[{i}])' for i in range(1, 32))}] AS w FROM h WHERE hits IS NOT NULL GROUP BY lang),
+refs AS (
+  SELECT lang, list_transform(c, lambda x: x / list_sum(c)) AS c,
+         list_transform(w, lambda x: x / list_sum(w)) AS w FROM sums)
+SELECT doc_id, n_words, word_chars, n_symbols, n_lines - n_kinds AS n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed
+       AND coalesce(list_sum(classes) < {rules.class_min_chars} OR {distance('classes', 'r.c')} <= {rules.class_distance}, true)
+       AND coalesce(n_words < {rules.word_min_words} OR {distance('common', 'r.w')} <= {rules.word_distance}, true) AS kept
+FROM h LEFT JOIN refs r ON r.lang = h.lang"""
+
+
+QUERIES = {"op6_quality_rules": (op6, _sql())}
