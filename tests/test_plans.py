@@ -5,13 +5,15 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+from pyspark.sql.readwriter import DataFrameWriter
+
 from panelcast.operators import price
+from panelcast.queries import REGISTRY
 from panelcast.queries import bindings as b
 
 SF = "/root/testdata/sf0.001"
 PYTHON = {"knn_items", "knn_vectors", "inverse_distance_weights", "neighbour_weighted_growth",
-          "growth_cascade", "apply_growth"}
+          "growth_cascade", "apply_growth", "borrowed_price_ladder"}
 
 
 def plan(df):
@@ -20,8 +22,28 @@ def plan(df):
 
 @pytest.fixture(scope="module")
 def plans(spark):
+    """Plans of each query: of the stage tables that it writes and of its result."""
     spark.conf.set("spark.sql.adaptive.enabled", "true")
-    return {name: plan(fn(spark, SF)) for name, fn in entry.queries().items()}
+    texts, write = [], DataFrameWriter.parquet
+
+    def recorded(self, *args, **kwargs):
+        texts.append(plan(self._df))
+        return write(self, *args, **kwargs)
+
+    out = {}
+    DataFrameWriter.parquet = recorded
+    try:
+        for name, (fn, _) in REGISTRY.items():
+            last = plan(fn(spark, SF))
+            out[name] = "\n".join([*texts, last])
+            texts.clear()
+    finally:
+        DataFrameWriter.parquet = write
+    return out
+
+
+def test_stage_plans_are_seen(plans):
+    assert "lineitem.parquet" in plans["borrowed_price_ladder"] and "InPandas" in plans["borrowed_price_ladder"]
 
 
 def test_no_cross_join_anywhere(plans):
