@@ -83,3 +83,20 @@ def windows(hashes: np.ndarray, width: int) -> np.ndarray:
     for i in range(width if n > 0 else 0):
         out = mix(out + hashes[i : i + n] + np.uint64(i + 1))
     return out
+
+
+def planes(values: np.ndarray, width: int) -> bytes:
+    """The `width` upper bytes of 64-bit numbers, plane by plane, so that equal bytes stand together."""
+    return np.ascontiguousarray(values.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+
+
+def unplaned(data: bytes, width: int) -> np.ndarray:
+    parts = np.frombuffer(data, dtype=np.uint8).reshape(width, -1)
+    out = np.zeros((parts.shape[1], 8), dtype=np.uint8)
+    out[:, :width] = parts.T
+    return out.reshape(-1).view(">u8").astype(np.uint64)
+
+
+def edges(ranges: int) -> np.ndarray:
+    """Bounds between equal ranges of 64-bit numbers."""
+    return (np.arange(1, ranges, dtype=object) * (1 << 64) // ranges).astype(np.uint64)

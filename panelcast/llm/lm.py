@@ -50,25 +50,13 @@ QUARTERS = 4
 class Lm:
     """Production parameters: documents per chunk and per range of hashes, rounds of EM."""
 
-    chunk_docs: int = 4_000
-    range_docs: int = 4_000
+    chunk_docs: int = 1_500
+    range_docs: int = 2_000
     rounds: int = 60
     modulus: int = 7
     held_out: int = 2
 
 
-def planes(values: np.ndarray, width: int) -> bytes:
-    """The `width` upper bytes of 64-bit numbers, plane by plane, so that equal bytes stand together."""
-    return np.ascontiguousarray(values.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
-
-
-def unplaned(data: bytes, width: int) -> np.ndarray:
-    parts = np.frombuffer(data, dtype=np.uint8).reshape(width, -1)
-    out = np.zeros((parts.shape[1], 8), dtype=np.uint8)
-    out[:, :width] = parts.T
-    return out.reshape(-1).view(">u8").astype(np.uint64)
-
-
 def held_out(doc_id, lm: Lm) -> bool:
     return not pd.isna(doc_id) and zlib.crc32(str(int(doc_id)).encode()) % lm.modulus == lm.held_out
 
@@ -104,7 +92,7 @@ def counted(docs: DataFrame, lm: Lm = Lm()) -> DataFrame:
     dealt = docs.select(
         F.expr("CAST(CAST(doc_id AS bigint) AS string)").alias("doc_id"), "text", F.expr(f"pmod(xxhash64(doc_id, text), {chunks})").alias("chunk")
     )
-    edges = (np.arange(1, ranges, dtype=object) * (1 << 64) // ranges).astype(np.uint64)
+    edges = hashing.edges(ranges)
 
     def ask(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         words, pairs, sizes = grams(part["text"])
@@ -116,21 +104,21 @@ def counted(docs: DataFrame, lm: Lm = Lm()) -> DataFrame:
             cuts = [0, *np.searchsorted(distinct, edges), len(distinct)]
             for r, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
                 if hi > lo:
-                    out.append((r, key[0], kind, planes(distinct[lo:hi], WIDTH[kind]), planes(n[lo:hi], 8)))
+                    out.append((r, key[0], kind, hashing.planes(distinct[lo:hi], WIDTH[kind]), hashing.planes(n[lo:hi], 8)))
         return pd.DataFrame(out, columns=["range", "chunk", "kind", "grams", "n"])
 
     def answer(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         out, totals = [], (0, 0)
         for kind, rows in part.groupby("kind"):
-            asked = [unplaned(x, WIDTH[kind]) for x in rows["grams"]]
+            asked = [hashing.unplaned(x, WIDTH[kind]) for x in rows["grams"]]
             distinct, place = np.unique(np.concatenate(asked), return_inverse=True)
-            n = np.bincount(place, weights=np.concatenate([unplaned(x, 8) for x in rows["n"]]), minlength=len(distinct))
+            n = np.bincount(place, weights=np.concatenate([hashing.unplaned(x, 8) for x in rows["n"]]), minlength=len(distinct))
             n = n.astype(np.uint64)
             if kind == WORD:
                 totals = (int(n.sum()), int((n > 0).sum()))
             ends = np.cumsum([len(x) for x in asked])
             for chunk, got in zip(rows["chunk"], np.split(n[place], ends[:-1]), strict=True):
-                out.append((chunk, key[0], kind, planes(got, 8)))
+                out.append((chunk, key[0], kind, hashing.planes(got, 8)))
         out.append((-1, key[0], TOTALS, np.array(totals, dtype=np.int64).tobytes()))
         return pd.DataFrame(out, columns=["chunk", "range", "kind", "n"])
 
@@ -142,7 +130,7 @@ def counted(docs: DataFrame, lm: Lm = Lm()) -> DataFrame:
         totals = {}
         for kind, found in ((WORD, words), (PAIR, pairs)):
             distinct = np.unique(found)
-            n = np.concatenate([unplaned(x, 8) for x in answers[answers["kind"] == kind].sort_values("range")["n"]])
+            n = np.concatenate([hashing.unplaned(x, 8) for x in answers[answers["kind"] == kind].sort_values("range")["n"]])
             totals[kind] = np.split(n[np.searchsorted(distinct, found)].astype(np.int64), np.cumsum(sizes)[:-1])
         return pd.DataFrame({"kind": DOCUMENT, "doc_id": pd.array([None if pd.isna(d) else int(d) for d in part["doc_id"]], dtype="Int64"), "words": totals[WORD], "pairs": totals[PAIR]})
 
@@ -168,6 +156,12 @@ def _counts(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return c1, c2, before, starts
 
 
+def _small(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def bucket(context: np.ndarray) -> np.ndarray:
     """0 for a context never seen, else one more than the whole part of its count's logarithm to base 2."""
     return np.where(context > 0, np.minimum(np.frexp(context)[1], BUCKETS - 1), 0).astype(np.int64)
@@ -184,7 +178,7 @@ def held_out_counts(documents: DataFrame, total: int, distinct: int, lm: Lm = Lm
     """Histogram (bucket, pair, word, n) of training tokens' estimates after the token itself is deleted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _small(batches):
             batch = batch.filter(pa.array([not held_out(d, lm) for d in batch.column(0).to_pylist()], pa.bool_()))
             if not batch.num_rows:
                 continue
@@ -239,9 +233,7 @@ def score_documents(docs: DataFrame, lm: Lm = Lm()) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _small(batches):
             c1, c2, before, starts = _counts(batch)
             w = weight[bucket(before)]
             pair = np.divide(c2, before, out=np.zeros_like(c1), where=before > 0)

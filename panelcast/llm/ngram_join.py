@@ -31,6 +31,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,13 +42,18 @@ from panelcast.llm.common import components, stage, table
 
 @dataclass(frozen=True)
 class Join:
-    """Production parameters. `common` bounds the list of common shingles that every task gets (8 bytes each)."""
+    """Production parameters. `common` bounds the list of common shingles that every task gets (8 bytes each).
+
+    Lists of texts to read again are broadcast up to `broadcast_rows` (24 bytes each).
+    """
 
     width: int = 5
     percent: int = 75
     most_matches: int = 4
     common: int = 200_000
     verify_cost: int = 8
+    range_docs: int = 4_000
+    broadcast_rows: int = 500_000
 
 
 def shingle_sets(batch: pa.RecordBatch, index: int, width: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -89,14 +95,14 @@ def common_shingles(docs: DataFrame, join: Join) -> np.ndarray:
 
 
 def measured(docs: DataFrame, common: np.ndarray, join: Join) -> DataFrame:
-    """Rows (doc_id, cls, n, prefix): the longest prefix, as hashes in the global order."""
+    """Rows (key, doc_id, cls, n, prefix): the longest prefix in the global order, as the upper 48 bits of hashes."""
     order = np.argsort(common)
     listed = common[order]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             classes, sizes, prefixes = [], [], []
-            for _, found in shingle_sets(batch, 1, join.width):
+            for _, found in shingle_sets(batch, 2, join.width):
                 n = len(found)
                 classes.append(class_of(found))
                 sizes.append(n)
@@ -107,25 +113,61 @@ def measured(docs: DataFrame, common: np.ndarray, join: Join) -> DataFrame:
                         last = found[hit][np.argsort(order[at[hit]])]
                         found = np.concatenate([found[~hit], last])
                 least = -(-join.percent * n // 100)
-                prefixes.append(found[: n - least + min(join.most_matches, least)].view(np.int64))
+                found = found[: n - least + min(join.most_matches, least)]
+                prefixes.append((found >> np.uint64(16)).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(classes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64()))],
-                names=["doc_id", "cls", "n", "prefix"],
+                [batch.column(0), batch.column(1), pa.array(classes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64()))],
+                names=["key", "doc_id", "cls", "n", "prefix"],
             )
 
-    return docs.selectExpr("CAST(doc_id AS bigint) AS doc_id", "text").mapInArrow(
-        run, "doc_id long, cls long, n int, prefix array<long>"
+    return docs.select("key", "doc_id", "text").mapInArrow(
+        run, "key long, doc_id long, cls long, n int, prefix array<long>"
     )
 
 
-def matches(sets: DataFrame, join: Join) -> DataFrame:
+def repeated_shingles(rows: DataFrame, join: Join) -> DataFrame:
+    """Rows (shingle): those that occur in several prefixes, copies of a text included.
+
+    Batches send each of their shingles once with its count, in one sorted block
+    per range of hashes, so that a range's size doesn't depend on how common its
+    shingles are.
+    """
+    ranges = max(1, -(-rows.count() // join.range_docs))
+    edges = hashing.edges(ranges) >> np.uint64(16)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shingles, n = np.unique(np.asarray(batch.column(0).flatten()).view(np.uint64), return_counts=True)
+            cuts = [0, *np.searchsorted(shingles, edges), len(shingles)]
+            spans = [(r, lo, hi) for r, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if hi > lo]
+            columns = [
+                pa.array([r for r, _, _ in spans], pa.int64()),
+                pa.array([hashing.planes(shingles[lo:hi] << np.uint64(16), 6) for _, lo, hi in spans], pa.binary()),
+                pa.array([np.minimum(n[lo:hi], 2).astype(np.uint8).tobytes() for _, lo, hi in spans], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["range", "shingles", "n"])
+
+    def add(part: pd.DataFrame) -> pd.DataFrame:
+        found, place = np.unique(np.concatenate([hashing.unplaned(x, 6) for x in part["shingles"]]), return_inverse=True)
+        n = np.bincount(place, weights=np.frombuffer(b"".join(part["n"]), dtype=np.uint8), minlength=len(found))
+        return pd.DataFrame({"shingle": (found[n > 1] >> np.uint64(16)).view(np.int64)})
+
+    sent = rows.select("prefix").mapInArrow(send, "range long, shingles binary, n binary")
+    return sent.groupBy("range").applyInPandas(add, "shingle long")
+
+
+def matches(rows: DataFrame, join: Join) -> DataFrame:
     """Rows (shingle, cls, n, k) of prefix shingles that several classes hold, with each class's chosen k."""
     least = f"CAST(ceil({join.percent} * n / 100) AS int)"
-    tokens = sets.select("cls", "n", F.posexplode("prefix").alias("pos", "shingle")).select(
-        "shingle", "cls", "n", F.expr(f"CAST(greatest(1, pos + 2 - (n - {least} + 1)) AS tinyint)").alias("enters")
+    enters = F.expr(f"CAST(greatest(1, pos + 2 - (n - {least} + 1)) AS tinyint)")
+    tokens = rows.select("cls", "n", F.posexplode("prefix").alias("pos", "shingle")).select("shingle", "cls", enters.alias("enters"))
+    again = stage(repeated_shingles(rows, join), "join-repeated")
+    once = stage(
+        tokens.join(again, "shingle").groupBy("shingle", "cls").agg(F.min("enters").alias("enters")), "join-postings"
     )
-    held = tokens.groupBy("shingle").agg(F.count("*").alias("df")).filter("df > 1")
-    shared = stage(tokens.join(held, "shingle"), "join-shared")
+    held = once.groupBy("shingle").agg(F.count("*").alias("df")).filter("df > 1")
+    sizes = rows.groupBy("cls").agg(F.first("n").alias("n"))
+    shared = stage(once.join(held, "shingle").join(sizes, "cls"), "join-shared")
     costs = [f"sum(CASE WHEN enters <= {k} THEN df - 1 ELSE 0 END) AS s{k}" for k in range(1, join.most_matches + 1)]
     cost = [
         f"named_struct('c', CASE WHEN {k} <= {least} THEN s{k} + {join.verify_cost} * s{k} / {k} END, 'k', {k})"
@@ -180,50 +222,45 @@ def cross_pairs(found: DataFrame, join: Join) -> DataFrame:
     )
 
 
-def verified(pairs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
-    """The pairs whose whole sets are similar enough; sets has (cls, shingles)."""
-    other = sets.select(F.col("cls").alias("cls2"), F.col("shingles").alias("shingles2"))
-    both = pairs.join(other, "cls2").join(sets, "cls")
-    both = both.withColumn("o", F.expr("size(array_intersect(shingles, shingles2))"))
-    return both.filter(f"100 * o >= {join.percent} * (n + n2 - o)").select("cls", "cls2")
-
+def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, join: Join) -> DataFrame:
+    """The pairs (cls, cls2) whose whole sets are similar enough.
 
-def whole_sets(docs: DataFrame, wanted: DataFrame, join: Join) -> DataFrame:
-    """Rows (cls, shingles) of the wanted (cls, doc_id), one per class."""
+    The texts of both ends are read once more and their sets sent to the second
+    one's group, where each member is compared with it. The list of what is read
+    is broadcast if it is short, and joined by shuffling else.
+    """
+    pairs = stage(pairs.select("cls", "cls2").distinct(), "join-pairs")
+    ends = pairs.union(pairs.select("cls2", "cls2").distinct()).toDF("cls", "group")
+    ends = stage(ends.join(classes.select("cls", "key"), "cls"), "join-ends")
+    if ends.count() <= join.broadcast_rows:
+        ends = F.broadcast(ends)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [s for _, s in shingle_sets(batch, 0, join.width)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([class_of(s) for s in found], pa.int64()), pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))],
-                names=["cls", "shingles"],
-            )
-
-    ids = wanted.select(F.col("doc_id").alias("wanted_id")).distinct()
-    texts = docs.selectExpr("CAST(doc_id AS bigint) AS doc_id", "text").join(ids, F.expr("doc_id <=> wanted_id"), "left_semi")
-    sets = texts.select("text").mapInArrow(run, "cls long, shingles array<long>")
-    return sets.join(wanted.select("cls").distinct(), "cls", "left_semi").groupBy("cls").agg(F.first("shingles").alias("shingles"))
+            found = [s.view(np.int64) for _, s in shingle_sets(batch, 2, join.width)]
+            columns = [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["group", "cls", "shingles"])
+
+    sets = docs.select("key", "text").join(ends, "key").select("group", "cls", "text")
+    sets = sets.mapInArrow(run, "group long, cls long, shingles array<long>").repartition("group")
+    second = sets.filter("cls = group").select(F.col("group").alias("cls2"), F.col("shingles").alias("shingles2"))
+    both = sets.filter("cls <> group").join(second, F.col("group") == F.col("cls2"))
+    both = both.withColumn("o", F.expr("size(array_intersect(shingles, shingles2))"))
+    return both.filter(f"100 * o >= {join.percent} * (size(shingles) + size(shingles2) - o)").select("cls", "cls2").distinct()
 
 
 def near_duplicates(docs: DataFrame, join: Join = Join()) -> DataFrame:
     """Rows (doc_id, n_shingles, component_id, class_id), one per row of docs."""
-    docs = docs.select("doc_id", "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("key", F.xxhash64("doc_id", "text"))
     rows = stage(measured(docs, common_shingles(docs, join), join), "join-rows")
-    # A class whose rows all lack an id is looked up under the null id.
     classes = stage(
-        rows.filter("n > 0").groupBy("cls", "n").agg(F.min("doc_id").alias("doc_id"), F.first("prefix").alias("prefix")),
-        "join-classes",
+        rows.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.min("key").alias("key")), "join-classes"
     )
-    found = matches(classes, join)
-    wanted = stage(found.select("cls").distinct().join(classes.select("cls", "doc_id"), "cls"), "join-wanted")
-    sets = stage(whole_sets(docs, wanted, join), "join-sets")
-    links = stage(verified(star_pairs(found, join), sets, join), "join-links")
+    found = matches(rows.filter("n > 0"), join)
+    links = stage(verified(docs, classes, star_pairs(found, join), join), "join-links")
     parts = components(links, "cls", "cls2")
-    found = (
-        found.join(parts.withColumnRenamed("id", "cls"), "cls", "left")
-        .withColumn("component", F.coalesce("component", "cls"))
-    )
-    more = verified(cross_pairs(stage(found, "join-parts"), join), sets, join)
+    found = found.join(parts.withColumnRenamed("id", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    more = verified(docs, classes, cross_pairs(stage(found, "join-parts"), join), join)
     links = links.union(more)
     parts = stage(components(links, "cls", "cls2").withColumnRenamed("id", "cls"), "join-components")
     named = classes.select("cls", "doc_id").join(parts, "cls", "left").withColumn("component", F.coalesce("component", "cls"))

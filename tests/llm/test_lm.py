@@ -9,7 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from panelcast.llm import lm
+from panelcast.llm import hashing, lm
 from panelcast.llm.lm import Lm
 
 SCHEMA = "doc_id long, text string, words int, kind string"
@@ -92,9 +92,9 @@ def test_em_finds_the_mixture_of_a_known_source():
 
 
 def test_planes_round_trip():
-    x = np.array([0, 1, 2**63 + 5 << 0, 2**64 - 1], dtype=np.uint64)
-    assert np.array_equal(lm.unplaned(lm.planes(x, 8), 8), x)
-    assert np.array_equal(lm.unplaned(lm.planes(x, 6), 6), x & ~np.uint64(0xFFFF))
+    x = np.array([0, 1, 2**63 + 5, 2**64 - 1], dtype=np.uint64)
+    assert np.array_equal(hashing.unplaned(hashing.planes(x, 8), 8), x)
+    assert np.array_equal(hashing.unplaned(hashing.planes(x, 6), 6), x & ~np.uint64(0xFFFF))
 
 
 def test_null_ids_repeated_rows_and_empty_tables(spark):
