@@ -14,22 +14,26 @@ from panelcast.llm.common import stage, table
 from panelcast.llm.mixing import Mix, mixed
 from panelcast.llm.ngram_join import near_duplicates
 from panelcast.llm.packing import pack_documents
-from panelcast.llm.quality import quality_rules
+from panelcast.llm.quality import kept_documents
 from panelcast.llm.secrets import redact
 
 #: Budget None gives every source one whole pass, so that the mix drops no document.
 MIX = Mix(budget=None, max_repeats=2.0)
+#: Ids (8 bytes each) that are broadcast to the documents; longer lists are joined by shuffling.
+BROADCAST_ROWS = 500_000
 
 
 def reject(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
-    return quality_rules(docs).filter("kept").select(*docs.columns)
+    return kept_documents(docs)
 
 
 def one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each component; one of its rows where rows repeat."""
     first = near_duplicates(docs).filter("doc_id IS NULL OR doc_id = component_id").select("doc_id").distinct()
     first = stage(first.select(F.col("doc_id").alias("first_id")), "first-of-copies")
+    if first.count() <= BROADCAST_ROWS:
+        first = F.broadcast(first)
     kept = docs.join(first, F.expr("doc_id <=> first_id"), "left_semi")
     repeated = stage(kept.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated-ids")
     if repeated.isEmpty():

@@ -197,6 +197,17 @@ def quality_rules(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     return judge(measured, references(measured), rules)
 
 
+def kept_documents(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """The documents that the rules keep.
+
+    The condition also names the number of the partition, which isn't a function
+    of the row: the optimiser then leaves the filter above the measurement,
+    instead of repeating all of it within the condition.
+    """
+    judged = quality_rules(docs, rules).withColumn("_part", F.spark_partition_id())
+    return judged.filter("kept AND _part >= 0").select(*docs.columns)
+
+
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured = stage(
         measure(table(spark, sf_dir, "documents")).select("doc_id", "lang", "_base", "_classes", "_common"), "quality"
