@@ -47,7 +47,7 @@ class Dedup:
     anchor: int = 16
     longest_run: int = 512
     block_bytes: int = 250_000
-    block_runs: int = 300
+    block_runs: int = 12_000
     task_bytes: int = 4_000_000
 
 
@@ -106,6 +106,33 @@ def runs(docs: DataFrame, dedup: Dedup) -> DataFrame:
     return docs.select("key", "text").mapInArrow(find, "key long, start long, n int, anchor long, same long")
 
 
+def words_at(data: bytes, more: int = 0) -> np.ndarray:
+    """The eight bytes from each position on as a number; zeros follow the data."""
+    text = np.frombuffer(data + bytes(8 + more), dtype=np.uint8)
+    word = np.zeros(len(text) - 7, dtype=np.uint64)
+    for i in range(8):
+        word <<= np.uint64(8)
+        word |= text[i : i + len(word)]
+    return word
+
+
+def sorted_directly(data: bytes, positions: np.ndarray, depth: int) -> np.ndarray:
+    """Positions in the order of the `depth` bytes that start there.
+
+    Eight bytes decide first; only positions that are equal in these are compared
+    further, so that few strings are held at a time.
+    """
+    head = words_at(data)[positions]
+    order = np.argsort(head, kind="stable")
+    positions, head = positions[order], head[order]
+    begin = np.flatnonzero(np.append(True, head[1:] != head[:-1])) if len(head) else np.empty(0, np.int64)
+    size = np.diff(np.append(begin, len(head)))
+    for b, n in zip(begin[size > 1].tolist(), size[size > 1].tolist(), strict=True):
+        tied = sorted(positions[b : b + n].tolist(), key=lambda i: data[i : i + depth])
+        positions[b : b + n] = tied
+    return positions
+
+
 def sorted_suffixes(data: bytes, wanted: np.ndarray, depth: int) -> np.ndarray:
     """Positions marked in `wanted` in the order of their suffixes' first `depth` bytes; data ends with STOP."""
     text = np.frombuffer(data, dtype=np.uint8)
@@ -123,8 +150,7 @@ def sorted_suffixes(data: bytes, wanted: np.ndarray, depth: int) -> np.ndarray:
         after[chain] = True
         chain = chain[~smaller[chain]]
     induced = after & ~smaller
-    direct = np.flatnonzero(after & smaller).tolist()
-    direct = np.array(sorted(direct, key=lambda i: data[i : i + depth]), dtype=np.int64)
+    direct = sorted_directly(data, np.flatnonzero(after & smaller), depth)
     cuts = np.searchsorted(text[direct], np.arange(257))
     waiting: list[list[np.ndarray]] = [[] for _ in range(256)]
     order = []
@@ -155,10 +181,7 @@ def sorted_suffixes(data: bytes, wanted: np.ndarray, depth: int) -> np.ndarray:
 
 def common_prefixes(data: bytes, order: np.ndarray, most: int) -> np.ndarray:
     """Common prefix of each position with the one before it in `order`, up to `most` bytes; 0 for the first."""
-    text = np.frombuffer(data + bytes(8 + most), dtype=np.uint8)
-    word = np.zeros(len(text) - 7, dtype=np.uint64)
-    for i in range(8):
-        word = (word << np.uint64(8)) | text[i : i + len(word)]
+    word = words_at(data, most)
     out = np.zeros(len(order), dtype=np.int64)
     alive = np.arange(1, len(order))
     for at in range(0, most, 8):
@@ -265,7 +288,7 @@ def duplicate_spans(docs: DataFrame, dedup: Dedup = Dedup()) -> DataFrame:
     by_text = ask.groupBy("key").agg(F.collect_list(F.struct("anchor", "block", "blocks", "single", "start", "n")).alias("r"))
     texts = (
         docs.select("key", "text")
-        .join(by_text, "key")
+        .join(by_text.hint("merge"), "key")
         .dropDuplicates(["key"])
         .select("key", F.expr("CAST(text AS binary)").alias("b"), F.explode("r").alias("r"))
         .select(
@@ -302,7 +325,7 @@ def remove_repeats(docs: DataFrame, dedup: Dedup = Dedup()) -> DataFrame:
     docs = keyed(docs)
     spans = stage(merged(duplicate_spans(docs, dedup)), "repeat-spans")
     none = "CAST(array() AS array<struct<s:bigint,e:bigint>>)"
-    whole = docs.join(spans, "key", "left").select(
+    whole = docs.join(spans.hint("merge"), "key", "left").select(
         "doc_id", F.expr("CAST(coalesce(text, '') AS binary)").alias("b"), F.expr(f"coalesce(spans, {none})").alias("spans")
     )
     keep = (
