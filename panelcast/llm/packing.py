@@ -15,6 +15,8 @@ an empty table gives no pieces; extra columns aren't returned.
 
 from __future__ import annotations
 
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -37,34 +39,60 @@ class Pack:
     end: int = 1
     size: int = 2048
     group: int = 50_000
-    cached_words: int = 300_000
+    cached_words: int = 600_000
 
 
-class Words:
-    """Token ids of texts, by remembered chunks between blanks.
+#: Characters whose case and class are plain, so that a text of them can be split here as the tokenizer splits it.
+PLAIN = re.compile("[\t\n\r\x20-\x7eÀ-ÖØ-öø-ÿ]*")
+#: The word_bpe_49k splitter, for small plain letters.
+SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\t\n\r a-zß-öø-ÿ0-9]+")
 
-    The tokenizer's normaliser and splitter never reach over a blank, so ids of
-    a text are those of its chunks.
+
+#: What stands for each byte in the vocabulary: visible ones for themselves, the rest in order from 256.
+_SHOWN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+_REST = [b for b in range(256) if b not in _SHOWN]
+BYTES = {b: chr(b) for b in _SHOWN} | {b: chr(256 + i) for i, b in enumerate(_REST)}
+
+
+class Words(dict):
+    """Token ids of texts, from remembered ids of the chunks between blanks.
+
+    The tokenizer's normaliser and splitter never reach over a blank or a line
+    end. Chunks of plain characters are split here as the tokenizer does it, and
+    the ids of their parts are remembered too; others go through it whole. Ids
+    are little-endian unsigned 32-bit numbers.
     """
 
     def __init__(self, path: str, limit: int):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.limit = limit
-        self.ids: dict[str, bytes] = {"": b""}
+        self.parts: dict[str, bytes] = {}
+
+    def part(self, part: str) -> bytes:
+        ids = self.parts.get(part)
+        if ids is None:
+            shown = part if part.isascii() else "".join([BYTES[b] for b in part.encode()])
+            tokens = [t.id for t in self.tokenizer.model.tokenize(shown)]
+            ids = self.parts[part] = struct.pack(f"<{len(tokens)}I", *tokens)
+        return ids
+
+    def __missing__(self, chunk: str) -> bytes:
+        if PLAIN.fullmatch(chunk) and "<|" not in chunk:  # no special token either
+            ids = b"".join([self.part(p) for p in SPLIT.findall(chunk.lower())])
+        else:
+            whole = self.tokenizer.encode(chunk, add_special_tokens=False).ids
+            ids = struct.pack(f"<{len(whole)}I", *whole)
+        self[chunk] = ids
+        return ids
 
     def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit numbers."""
-        chunks = text.replace("\n", " ").split(" ")
-        new = list({c for c in chunks if c not in self.ids})
-        if new:
-            if len(self.ids) + len(new) > self.limit:
-                self.ids = {"": b""}
-                new = list(set(chunks) - {""})
-            for c, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                self.ids[c] = np.array(e.ids, dtype="<u4").tobytes()
-        return b"".join([self.ids[c] for c in chunks])
+        for held in (self, self.parts):
+            if len(held) > self.limit:
+                held.clear()
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 def pieces(docs: DataFrame, pack: Pack = Pack(), with_ids: bool = False) -> DataFrame:
@@ -77,8 +105,8 @@ def pieces(docs: DataFrame, pack: Pack = Pack(), with_ids: bool = False) -> Data
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(pack.tokenizer, pack.cached_words)
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, 200):
+                part = batch.slice(at, 200)
                 out: list[list] = [[] for _ in fields]
                 for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                     ids = words.encode(text or "") + end
