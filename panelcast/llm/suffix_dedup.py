@@ -2,9 +2,11 @@
 
 Every string of `length` bytes has an anchor, the least hash of the shorter
 strings within it; equal strings have equal anchors. So a text falls into runs of
-positions with one anchor, and only runs with an anchor that another run has can
-hold a repeated string. Runs with equal bytes count as repeated at once. Where an
-anchor has runs with different bytes, one of each is taken to a suffix array.
+positions with one anchor, and a string repeats only in runs that share an anchor
+or within one run. Runs with equal bytes count as repeated at once. Where an
+anchor has runs with different bytes, one of each is taken to a suffix array, and
+so is a run without a like that holds its anchor at several places and may repeat
+itself, as a passage with a period does.
 
 The suffix array is built in two stages: suffixes smaller than their successors
 are sorted directly; all others follow from a scan over the buckets of first
@@ -41,7 +43,10 @@ STOP = 0xFF
 
 @dataclass(frozen=True)
 class Dedup:
-    """Production parameters: bytes of a repeated string, of an anchor, of a block; runs of one anchor in a block."""
+    """Production parameters: bytes of a repeated string, of an anchor, of a block; runs of one anchor in a block.
+
+    `tried_places` affects the cost only: up to so many places of an anchor in a run are compared at once.
+    """
 
     length: int = 400
     anchor: int = 16
@@ -49,6 +54,7 @@ class Dedup:
     block_bytes: int = 250_000
     block_runs: int = 12_000
     task_bytes: int = 4_000_000
+    tried_places: int = 8
 
 
 def window_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -60,20 +66,39 @@ def window_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - (width - done)], values[width - done :]) if done < width else values
 
 
-def anchors(data: np.ndarray, dedup: Dedup) -> np.ndarray:
-    """Anchor of the string that starts at each byte and has all of its bytes in data."""
+def anchor_hashes(data: np.ndarray, dedup: Dedup) -> tuple[np.ndarray, int]:
+    """Hash of the short string that starts at each byte, and how many bytes it has."""
     hashes, width = hashing.mix(data.astype(np.uint64) + np.uint64(1)), 1
     while width < dedup.anchor:
         hashes = hashing.mix(hashes[:-width] * np.uint64(5) + hashes[width:])
         width *= 2
-    return window_least(hashes, dedup.length - width + 1)
+    return hashes, width
+
+
+def repeats_within(data: np.ndarray, places: np.ndarray, n: int, dedup: Dedup) -> bool:
+    """Whether the bytes of a run of n positions may hold a string twice; `places` has its anchor's.
+
+    Two equal strings are as far apart as two places of their anchor. A few
+    distances are tried; a run with many goes to the suffix array as it is.
+    """
+    if len(places) < 2 or np.diff(places).min() >= n:
+        return False
+    if len(places) > dedup.tried_places:
+        return True
+    apart = np.unique(places[:, None] - places[None, :])
+    for d in apart[(apart > 0) & (apart < n)].tolist():
+        differ = np.flatnonzero(data[:-d] != data[d:])
+        if np.diff(np.concatenate([[-1], differ, [len(data) - d]])).max() > dedup.length:
+            return True
+    return False
 
 
 def runs_of(data: np.ndarray, offsets: np.ndarray, dedup: Dedup) -> tuple[np.ndarray, ...]:
-    """(text, start in it, positions, anchor) of each run of positions with one anchor."""
+    """(text, start in it, positions, anchor, may repeat itself) of each run of positions with one anchor."""
     if len(data) < dedup.length:
-        return tuple(np.empty(0, np.int64) for _ in range(4))
-    least = anchors(data, dedup)
+        return tuple(np.empty(0, np.int64) for _ in range(5))
+    hashes, width = anchor_hashes(data, dedup)
+    least = window_least(hashes, dedup.length - width + 1)
     position = np.arange(len(least))
     text = np.searchsorted(offsets, position, side="right") - 1
     ok = np.flatnonzero(position + dedup.length <= offsets[text + 1])
@@ -82,28 +107,33 @@ def runs_of(data: np.ndarray, offsets: np.ndarray, dedup: Dedup) -> tuple[np.nda
     begin = np.flatnonzero(new)
     within = np.arange(len(ok)) - begin[np.cumsum(new) - 1]
     begin = np.flatnonzero(within % dedup.longest_run == 0)
-    first = ok[begin]
-    return text[first], first - offsets[text[first]], np.diff(np.append(begin, len(ok))), least[first]
+    first, n = ok[begin], np.diff(np.append(begin, len(ok)))
+    inner = np.zeros(len(first), dtype=bool)
+    for i, (a, m, anchor) in enumerate(zip(first.tolist(), n.tolist(), least[first], strict=True)):
+        places = np.flatnonzero(hashes[a : a + m + dedup.length - width] == anchor)
+        inner[i] = len(places) > 1 and repeats_within(data[a : a + m + dedup.length - 1], places, m, dedup)
+    return text[first], first - offsets[text[first]], n, least[first], inner
 
 
 def runs(docs: DataFrame, dedup: Dedup) -> DataFrame:
-    """Rows (key, start, n, anchor, same): runs of n positions; `same` is a digest of their bytes."""
+    """Rows (key, start, n, anchor, same, inner): runs of n positions; `same` is a digest of their bytes, `inner`
+    tells that they may repeat themselves."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in hashing.slices(batch, 1):
                 data, offsets = hashing.texts(part.column(1))
-                text, start, n, anchor = runs_of(data, offsets, dedup)
+                text, start, n, anchor, inner = runs_of(data, offsets, dedup)
                 whole, first = data.tobytes(), offsets[text] + start
                 digests = [
                     int.from_bytes(hashlib.blake2b(whole[a:b], digest_size=8).digest(), "little", signed=True)
                     for a, b in zip(first.tolist(), (first + n + dedup.length - 1).tolist(), strict=True)
                 ]
                 keys = part.column(0).take(pa.array(text)) if len(text) else pa.array([], pa.int64())
-                columns = [keys, pa.array(start, pa.int64()), pa.array(n, pa.int32()), pa.array(anchor.astype(np.uint64).view(np.int64)), pa.array(digests, pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, names=["key", "start", "n", "anchor", "same"])
+                columns = [keys, pa.array(start, pa.int64()), pa.array(n, pa.int32()), pa.array(anchor.astype(np.uint64).view(np.int64)), pa.array(digests, pa.int64()), pa.array(inner.astype(bool))]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "start", "n", "anchor", "same", "inner"])
 
-    return docs.select("key", "text").mapInArrow(find, "key long, start long, n int, anchor long, same long")
+    return docs.select("key", "text").mapInArrow(find, "key long, start long, n int, anchor long, same long, inner boolean")
 
 
 def words_at(data: bytes, more: int = 0) -> np.ndarray:
@@ -268,17 +298,21 @@ def duplicate_spans(docs: DataFrame, dedup: Dedup = Dedup()) -> DataFrame:
     """Rows (key, s, e): byte spans covered by strings that repeat; they may overlap. docs has key and text."""
     found = stage(runs(docs, dedup), "runs")
     kinds = found.groupBy("anchor", "same").agg(
-        F.count("*").alias("copies"), F.min(F.struct("key", "start", "n")).alias("one")
+        F.count("*").alias("copies"), F.min(F.struct("key", "start", "n")).alias("one"), F.expr("bool_or(inner)").alias("inner")
     )
     kinds = stage(kinds, "run-kinds")
-    several = kinds.groupBy("anchor").agg(F.sum("copies").alias("all"), F.count("*").alias("kinds")).filter("all > 1")
+    # A run with equal ones is whole a repeat; of the others, those that share an anchor or may repeat themselves are asked.
+    several = kinds.groupBy("anchor").agg(
+        F.sum("copies").alias("all"), F.count("*").alias("kinds"), F.expr("bool_or(inner)").alias("inner")
+    )
+    several = several.filter("kinds > 1 OR (all = 1 AND inner)").select("anchor", "kinds")
     several = stage(several, "run-anchors")
     whole = found.join(kinds.filter("copies > 1").select("anchor", "same"), ["anchor", "same"]).select(
         "key", F.col("start").alias("s"), F.expr(f"start + n + {dedup.length - 1}").alias("e")
     )
-    # One run of each kind where an anchor has several: its bytes are cut out of its document.
+    # One run of each kind asked for: its bytes are cut out of its document.
     ask = (
-        kinds.join(several.filter("kinds > 1"), "anchor")
+        kinds.join(several, "anchor")
         .withColumn("blocks", F.expr(f"CAST(ceil(kinds / {dedup.block_runs}) AS bigint)"))
         .select("anchor", F.expr("pmod(same, blocks)").alias("block"), "blocks", F.expr("copies = 1").alias("single"), "one.*")
     )

@@ -78,3 +78,23 @@ def test_empty_table_null_ids_and_repeated_rows(spark):
     assert sorted((r["n_bytes"], r["n_removed"]) for r in out) == [(0, 0)] + [(len(text), len(text))] * 3
     alone = suffix_dedup.remove_repeats(spark.createDataFrame(rows[1:2], SCHEMA)).first()
     assert alone["n_removed"] == 0 and bytes(alone["kept"]) == text.encode()
+
+
+@pytest.mark.parametrize("around", [False, True])
+def test_a_single_run_that_repeats_itself(spark, around):
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    rng = random.Random(17)
+
+    def letters(n):
+        return "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+
+    texts = ["a" * 450, *[letters(unit) * 20 for unit in (60, 200, 300)]]
+    texts = [texts[0], *[t[:n] for t in texts[1:] for n in (480, 600, 700, 800, 900)], letters(900)]
+    # A passage twice, apart and overlapping with its end; and one whose anchor alone occurs twice.
+    part, end = letters(430), letters(16)
+    texts += [part + letters(60) + part, end + letters(100) + end + letters(500)]
+    if around:
+        texts = [letters(700) + t + letters(700) for t in texts]
+    for dedup in (Dedup(), Dedup(tried_places=1), Dedup(longest_run=64)):
+        assert run(spark, texts, dedup) == brute(texts, dedup.length)
+    assert sum(e[1] > 0 for e in brute(texts, 400)) >= 13
