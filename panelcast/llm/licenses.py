@@ -3,8 +3,9 @@
 Sentences with a licence cue, from anywhere in a text, and the whole texts that
 hold one are compared with templates as sparse TF-IDF vectors: terms are rows,
 products are sums over joins on the term. A sentence that is near a template is a
-licence header of its file; a text that is near one as a whole is a licence file,
-which speaks for its directory. A file without a header of its own inherits from
+licence header of its file; a text that is near one as a whole, or near the whole
+text of a licence in `license_texts`, is a licence file, which speaks for its
+directory. A file without a header of its own inherits from
 the nearest directory above it that has a licence. Inheritance is resolved for
 distinct directories and then joined to the files.
 
@@ -20,7 +21,9 @@ unless they have the names of the columns added here.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
+from importlib.resources import files as packaged
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +54,10 @@ TEMPLATES = [
     ("CC0-1.0", "To the extent possible under law, all copyright and related rights are waived under CC0 1.0"),
     ("Unlicense", "This is free and unencumbered software released into the public domain"),
 ]
+#: Whole licence texts by licence identifier; only whole texts are compared with them.
+TEXTS = sorted(
+    (f.name.removesuffix(".txt"), f.read_text("utf-8")) for f in (packaged("panelcast.llm") / "license_texts").iterdir() if f.name.endswith(".txt")
+)
 #: What a sentence must hold to be compared.
 CUES = "licen[sc]|spdx|permission is hereby|redistribut|public domain|cc0|creative commons"
 TERM = r"[a-z0-9]+(?:[.][0-9]+)*"
@@ -58,29 +65,35 @@ TERM = r"[a-z0-9]+(?:[.][0-9]+)*"
 
 @dataclass(frozen=True)
 class Nearness:
-    """Least cosine of a header sentence, and of a whole text to be a licence file."""
+    """Least cosine of a header sentence, of a whole text to be a licence file, and of one to a whole licence text."""
 
     header: float = 0.6
     file: float = 0.6
+    text: float = 0.8
 
 
 def _terms(text: str) -> str:
     return f"regexp_extract_all(lower({text}), '{TERM}', 0)"
 
 
-def cosines(vectors: DataFrame, documents: DataFrame) -> DataFrame:
-    """Rows (_key, part, license, cosine): from rows (_key, part, words), one per text to compare."""
-    spark = vectors.sparkSession
-    templates = spark.createDataFrame([(i, name, text) for i, (name, text) in enumerate(TEMPLATES)], "t int, license string, text string")
-    templates = templates.select("t", "license", F.explode(F.expr(_terms("text"))).alias("term")).groupBy("t", "license", "term").count()
-    vocabulary = sorted({r["term"] for r in templates.select("term").distinct().collect()})  # the templates are a fixed list
-    listed = ", ".join(f"'{w}'" for w in vocabulary)
-    # Which of the templates' terms each text holds, counted over all texts.
+def vocabulary(templates: list[tuple[str, str]]) -> list[str]:
+    return sorted({w for _, text in templates for w in re.findall(TERM, text.lower())})
+
+
+def frequencies(documents: DataFrame) -> tuple[int, dict[str, int]]:
+    """Number of texts, and how many of them hold each term of the templates."""
+    listed = ", ".join(f"'{w}'" for w in vocabulary(TEMPLATES + TEXTS))
     held = documents.select(F.expr(f"array_intersect({_terms('text')}, array({listed}))").alias("h"))
     counts = held.select(F.explode("h").alias("term")).groupBy("term").agg(F.count("*").alias("df")).collect()
-    n = documents.count()
-    df = {r["term"]: r["df"] for r in counts}
-    idf = spark.createDataFrame([(w, df.get(w, 0)) for w in vocabulary], "term string, df long").select(
+    return documents.count(), {r["term"]: r["df"] for r in counts}  # the templates are a fixed list
+
+
+def cosines(vectors: DataFrame, listed: list[tuple[str, str]], n: int, df: dict[str, int]) -> DataFrame:
+    """Rows (_key, part, license, cosine): from rows (_key, part, words), one per text to compare with each listed template."""
+    spark = vectors.sparkSession
+    templates = spark.createDataFrame([(i, name, text) for i, (name, text) in enumerate(listed)], "t int, license string, text string")
+    templates = templates.select("t", "license", F.explode(F.expr(_terms("text"))).alias("term")).groupBy("t", "license", "term").count()
+    idf = spark.createDataFrame([(w, df.get(w, 0)) for w in vocabulary(listed)], "term string, df long").select(
         "term", F.expr(f"ln(({n} + 1) / (df + 1)) + 1").alias("idf")
     )
     most = F.expr(f"ln({n} + 1) + 1")
@@ -115,9 +128,12 @@ def own_licenses(files: DataFrame, near: Nearness) -> DataFrame:
     vectors = parts.select("_key", "part", F.expr(_terms("s")).alias("words")).union(
         cue.select("_key", F.lit(-1), F.expr(_terms("text")))
     )
-    scores = stage(cosines(stage(vectors, "license-parts"), files.select("text")), "license-cosines")
+    vectors = stage(vectors, "license-parts")
+    n, df = frequencies(files.select("text"))
+    scores = stage(cosines(vectors, TEMPLATES, n, df), "license-cosines")
+    texts = cosines(vectors.filter("part < 0"), TEXTS, n, df).filter(F.col("cosine") >= near.text)
     header = best(scores.filter(F.col("part") >= 0).filter(F.col("cosine") >= near.header), "_key")
-    whole = best(scores.filter(F.col("part") < 0).filter(F.col("cosine") >= near.file), "_key")
+    whole = best(scores.filter(F.col("part") < 0).filter(F.col("cosine") >= near.file).union(texts), "_key")
     return (
         cue.select("_key", "directory")
         .join(header.toDF("_key", "header", "header_cosine"), "_key", "left")

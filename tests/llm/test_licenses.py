@@ -89,3 +89,19 @@ def test_templates_name_themselves(name):
 
 def test_empty_table(spark):
     assert licenses.scan_licenses(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_whole_licence_texts_speak_for_their_directories(spark):
+    texts = dict(licenses.TEXTS)
+    mit = "The MIT License (MIT)\n\n" + texts["MIT"].replace("Copyright (c)", "Copyright (c) 2019 Jane Roe and others")
+    apache = texts["Apache-2.0"].replace("[yyyy] [name of copyright owner]", "2020 The Example Authors")
+    files = [
+        ("m/LICENSE", mit), ("m/src/a.py", "plain words"), ("p/LICENSE", apache), ("p/q/r/b.py", "other plain words"),
+        ("g/COPYING", texts["GPL-3.0"]), ("g/x.c", "code"), ("b/LICENSE", texts["BSD-3-Clause"]), ("b/y.c", "code"),
+        ("none/talk.txt", "a licence is a text on what others may do with a software " * 20), ("none/z.c", "code"),
+    ]
+    df = spark.createDataFrame([(i, p, t, 0) for i, (p, t) in enumerate(files)], SCHEMA)
+    out = {r["path"]: (r["license"], r["license_by"], r["license_from"]) for r in licenses.scan_licenses(df).collect()}
+    assert out["m/src/a.py"] == ("MIT", "inherited", "m") and out["p/q/r/b.py"] == ("Apache-2.0", "inherited", "p")
+    assert out["g/x.c"] == ("GPL-3.0", "inherited", "g") and out["b/y.c"] == ("BSD-3-Clause", "inherited", "b")
+    assert out["none/talk.txt"][0] is None and out["none/z.c"][0] is None
