@@ -12,7 +12,7 @@ import corpus_pipeline
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Query, str | None]] = {}
 
-MODULES = ["suffix_dedup", "ngram_join", "vectors", "licenses", "secrets", "quality", "lm", "urls", "mixing", "packing", "line_dedup", "negatives"]
+MODULES = ["suffix_dedup", "ngram_join", "vectors", "licenses", "secrets", "quality", "lm", "urls", "mixing", "packing", "line_dedup", "negatives", "spelling"]
 
 for _module in MODULES:
     REGISTRY.update(importlib.import_module(f"panelcast.llm.{_module}").QUERIES)
