@@ -51,6 +51,11 @@ class Spelling:
     tile: int = 1_024
     cells: int = 4
     bytes_at_once: int = 32 << 20
+    rows_at_once: int = 20_000
+
+
+#: Keys of up to so many words are compared together.
+SMALL_KEY = 48
 
 
 def words(docs: DataFrame, rule: Spelling = Spelling()) -> DataFrame:
@@ -79,31 +84,29 @@ def _keyed(rows: DataFrame) -> DataFrame:
 
 
 def cells(counted: DataFrame, rule: Spelling = Spelling()) -> DataFrame:
-    """Rows (m, low, high, key, word, n): each word under its keys; no key has more than `tile` words
-    unless one place is open. Keys under which no pair can meet are left out."""
+    """Rows (m, low, high, key, word, n): each word under its keys. No key has more than `tile` words
+    unless only one place is open."""
     by = ["m", "low", "high", "key"]
     edges = f"transform(sequence(0, {rule.cells}), i -> CAST(i * m DIV {rule.cells} AS int))"
     rows = counted.withColumn("length", F.char_length("word"))
-    rows = rows.select("word", "n", "length", F.expr("explode(array(length, length + 1)) AS m"))
+    rows = rows.select("word", "n", F.expr("explode(array(length, length + 1)) AS m"))
     rows = rows.withColumn("edges", F.expr(edges))
     rows = rows.select(
-        "word", "n", "length", "m",
+        "word", "n", "m",
         F.expr(f"inline(transform(sequence(0, {rule.cells - 1}), i -> named_struct('low', edges[i], 'high', edges[i + 1])))"),
     ).filter("low < high")
     rows, done = _keyed(rows), None
     while True:
-        # A key with words of the shorter length only belongs to another cell.
-        sizes = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("size"), F.count_if(F.expr("length = m")).alias("full"))
-        sizes = stage(sizes.filter("size > 1 AND full > 0"), "spelling-sizes")
-        large = F.expr(f"size > {rule.tile} AND high - low > 1")
-        ready = rows.join(sizes.filter(~large).select(*by), by)
-        done = ready if done is None else done.union(ready)
-        if sizes.filter(large).isEmpty():
-            return done.select(*by, "word", "n")
-        split = rows.join(sizes.filter(large).select(*by), by).withColumn("half", F.expr("(low + high) DIV 2"))
+        sizes = rows.filter("high - low > 1").groupBy(*by).agg(F.count(F.lit(1)).alias("size"))
+        large = stage(sizes.filter(F.col("size") > rule.tile).select(*by), "spelling-large")
+        if large.isEmpty():
+            return rows.select(*by, "word", "n") if done is None else done.unionByName(rows).select(*by, "word", "n")
+        ready = rows.join(large, by, "left_anti")
+        done = ready if done is None else done.unionByName(ready)
+        split = rows.join(large, by, "left_semi").withColumn("half", F.expr("CAST((low + high) DIV 2 AS int)"))
         split = split.select(
-            "word", "n", "length", "m",
-            F.expr("inline(array(named_struct('low', low, 'high', CAST(half AS int)), named_struct('low', CAST(half AS int), 'high', high)))"),
+            "word", "n", "m",
+            F.expr("inline(array(named_struct('low', low, 'high', half), named_struct('low', half, 'high', high)))"),
         )
         rows = stage(_keyed(split), "spelling-cells")
 
@@ -155,19 +158,94 @@ def near_in_cell(m: int, low: int, high: int, some: list[str], counts: np.ndarra
     return near, best
 
 
+def near_in_batch(m: int, keys: np.ndarray, low: np.ndarray, high: np.ndarray, words: np.ndarray, counts: np.ndarray, limit: int = 32 << 20):
+    """near_in_cell for many keys of one longer length m at once; rows are in order of key, then word.
+
+    Small keys stand below each other in one matrix that is compared with itself moved by one row, two rows
+    and so on, within keys; each larger key is compared in blocks.
+    """
+    n = len(words)
+    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    sizes = np.diff(np.r_[starts, n])
+    size, place = np.repeat(sizes, sizes), np.arange(n) - np.repeat(starts, sizes)
+    points = words.view(np.uint32).reshape(n, m)
+    lengths = (points > 0).sum(axis=1)
+    turned = lengths[:, None] - 1 - np.arange(m)
+    back = np.where(turned >= 0, np.take_along_axis(points, np.maximum(turned, 0), axis=1), 0)
+    order = np.lexsort((np.unique(words, return_inverse=True)[1], -counts))
+    rank = np.empty(n, dtype=np.int64)
+    rank[order] = np.arange(n)
+    near, first = np.zeros(n, dtype=np.int64), np.full(n, n, dtype=np.int64)
+
+    def front(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        differs = np.ones((len(a), m + 1), dtype=bool)
+        np.not_equal(a, b, out=differs[:, :-1])
+        return differs.argmax(axis=1)
+
+    step = max(1, limit // (16 * (m + 1)))
+    small = np.flatnonzero(size <= SMALL_KEY)
+    for gap in range(1, int(size[small].max(initial=0))):
+        small = small[place[small] + gap < size[small]]
+        for at in range(0, len(small), step):
+            i = small[at : at + step]
+            j = i + gap
+            p = front(points[i], points[j])
+            hit = (np.maximum(lengths[i], lengths[j]) == m) & (p >= low[i]) & (p < high[i]) & (p < m)
+            i, j, p = i[hit], j[hit], p[hit]
+            hit = p + front(back[i], back[j]) >= m - 1
+            i, j = i[hit], j[hit]
+            near[i] += 1
+            near[j] += 1
+            first[i] = np.minimum(first[i], rank[j])
+            first[j] = np.minimum(first[j], rank[i])
+    best = np.where(first < n, order[np.minimum(first, n - 1)], -1)
+    for start, count in zip(starts[sizes > SMALL_KEY], sizes[sizes > SMALL_KEY]):
+        part = slice(start, start + count)
+        near[part], inside = near_in_cell(m, int(low[start]), int(high[start]), words[part].tolist(), counts[part], limit)
+        best[part] = np.where(inside >= 0, inside + start, -1)
+    return near, best
+
+
+def _pieces(m: int, keys: np.ndarray, limit: int) -> list[slice]:
+    """Whole keys together as far as their matrices stay within the limit."""
+    ends = np.r_[np.flatnonzero(keys[1:] != keys[:-1]) + 1, len(keys)]
+    rows, out, start = max(1, limit // (16 * m)), [], 0
+    while start < len(keys):
+        fits = ends[(ends > start) & (ends <= start + rows)]
+        stop = int(fits[-1]) if len(fits) else int(ends[ends > start][0])
+        out.append(slice(start, stop))
+        start = stop
+    return out
+
+
 def near_words(counted: DataFrame, rule: Spelling = Spelling()) -> DataFrame:
-    """Rows (word, n_near, near_n, near): the near words of each word that has any, and the most frequent of them."""
-
-    def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        some, counts = zip(*sorted(zip(rows["word"].tolist(), rows["n"].tolist())))
-        some, counts = list(some), np.array(counts, dtype=np.int64)
-        near, best = near_in_cell(int(key[0]), int(key[1]), int(key[2]), some, counts, rule.bytes_at_once)
-        at = np.flatnonzero(near)
-        names = [pd.Series([some[i] for i in places], dtype=object) for places in (at, best[at])]
-        return pd.DataFrame({"word": names[0], "n_near": near[at], "near_n": counts[best[at]], "near": names[1]})
-
-    schema = "word string, n_near long, near_n long, near string"
-    found = cells(counted, rule).groupBy("m", "low", "high", "key").applyInPandas(compare, schema)
+    """Rows (word, n_near, near_n, near): the near words of each word that has any, and the most frequent of them.
+
+    Keys are dealt to groups of about `rows_at_once` rows and `bytes_at_once` code points; all rows of a key are in one.
+    """
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for m, part in rows.groupby("m"):
+            words = np.array(part["word"].tolist(), dtype=f"U{m}")
+            cell = np.stack([part[c].to_numpy(np.int64) for c in ("low", "high", "key")])
+            order = np.lexsort((np.unique(words, return_inverse=True)[1], *cell[::-1]))
+            words, counts, (low, high, key) = words[order], part["n"].to_numpy(np.int64)[order], cell[:, order]
+            keys = np.cumsum(np.r_[0, (cell[:, order][:, 1:] != cell[:, order][:, :-1]).any(axis=0)])
+            for piece in _pieces(int(m), keys, rule.bytes_at_once):
+                some, n = words[piece], counts[piece]
+                near, best = near_in_batch(int(m), keys[piece], low[piece], high[piece], some, n, rule.bytes_at_once)
+                at = np.flatnonzero(near)
+                out.append((some[at].tolist(), near[at], n[best[at]], some[best[at]].tolist()))
+        merged = [[x for o in out for x in o[k]] for k in range(4)]
+        word, best = (pd.Series(merged[k], dtype=object) for k in (0, 3))
+        return pd.DataFrame({"word": word, "n_near": merged[1], "near_n": merged[2], "near": best})
+
+    rows, points = counted.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.char_length("word")), F.lit(0))).first()
+    groups = 1 + 2 * rule.cells * max(rows // rule.rows_at_once, points // rule.bytes_at_once)
+    group = F.pmod(F.xxhash64("m", "low", "high", "key"), F.lit(groups)).alias("group")
+    rows = cells(counted, rule).select("m", "low", "high", "key", "word", "n", group)
+    found = rows.groupBy("group").applyInPandas(compare, "word string, n_near long, near_n long, near string")
     # Code-point order is the order of UTF-8 bytes.
     best = F.min(F.struct((-F.col("near_n")).alias("o"), "near"))
     return found.groupBy("word").agg(F.sum("n_near").alias("n_near"), best.alias("best")).select(

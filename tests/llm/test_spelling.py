@@ -76,7 +76,7 @@ def documents(seed):
     return docs + docs[20:40]
 
 
-@pytest.mark.parametrize("rule", [Spelling(), Spelling(tile=2, cells=2, bytes_at_once=200), Spelling(ratio=2, tile=5, cells=1, damage=3)])
+@pytest.mark.parametrize("rule", [Spelling(), Spelling(tile=2, cells=2, bytes_at_once=200, rows_at_once=50), Spelling(ratio=2, tile=5, cells=1, damage=3)])
 def test_equal_to_all_edits(spark, rule):
     spark.conf.set("spark.sql.shuffle.partitions", "2")
     docs = documents(13)
