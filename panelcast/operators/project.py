@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from panelcast.functions import semantics as sem
 from panelcast.operators.conform import first_valid_by_key, union_feeds
+from panelcast.sources.stages import stage
 
 
 def site_universe(
@@ -154,11 +155,17 @@ def ratio_slope(panel: DataFrame, group: Sequence[str], y: str, x: str) -> DataF
 
 
 def average_rank(
-    df: DataFrame, group: Sequence[str], value: str, out: str, bands_per_octave: int = 64
+    df: DataFrame,
+    group: Sequence[str],
+    value: str,
+    out: str,
+    bands_per_octave: int = 64,
+    weight: str | None = None,
 ) -> DataFrame:
     """Rank of a value within its group, ties sharing their average rank.
 
-    Values are counted per group first. A group is then cut into bands by a
+    With a weight, a row counts as that many rows of its value. Values are
+    counted per group first. A group is then cut into bands by a
     fixed increasing function of the value: a rank is the size of the lower
     bands plus the position in the own band. No task has to sort a whole group,
     so a group that holds a third of the rows is ranked in many tasks.
@@ -166,7 +173,7 @@ def average_rank(
     magnitude = F.floor(F.log2(F.abs(F.col(value).cast("double")) + 1) * bands_per_octave)
     counts = (
         df.groupBy(*group, value)
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("_n"))
         .withColumn("_band", (F.signum(value) * magnitude).cast("int"))
     )
     lower = Window.partitionBy(*group).orderBy("_band").rowsBetween(
@@ -209,6 +216,93 @@ def spearman_by_group(panel: DataFrame, group: Sequence[str], y: str, x: str) ->
     )
 
 
+def spearman_compact(
+    sites: DataFrame,
+    packs: DataFrame,
+    observed: DataFrame,
+    flagged_pairs: DataFrame,
+    quarters: Sequence[str],
+    area: Sequence[str],
+    pack: Sequence[str],
+    group: Sequence[str],
+    site: str = "site",
+    size: str = "est",
+) -> DataFrame:
+    """The result of ``spearman_by_group`` on the zero-filled panel, without building that panel.
+
+    Most cells of the panel are zero, and all zeros of a group share one rank
+    that follows from their number. So only the rows with sales are ranked. The
+    size of a site is ranked among the panel sites of the areas in which a
+    group's packs are sold; groups that are sold in the same areas share that
+    ranking, which is worked out once per set of areas. All sums of ranks run
+    over rows with sales; what the zeros add is a closed form.
+
+    ``observed`` holds quarter sums, one row per site, quarter and pack.
+    """
+    outer = [c for c in area if c in group]
+    inner = [c for c in area if c not in group]
+    fixed = [c for c in pack if c in group]  # the group's packs
+    trusted = sites.filter(F.col("panel") == 1).select(site, *area, "seg", size)
+    trusted = stage(with_flagged_markets(trusted, flagged_pairs, site), "trusted_sites")
+
+    # Where each group's packs are sold, and by how many packs: the set of areas.
+    local = packs.select(*area, *pack).distinct().groupBy(*area, *fixed).agg(F.count(F.lit(1)).alias("_packs"))
+    places = F.array_sort(F.collect_list(F.struct(*inner, "_packs")))  # bounded by the number of areas
+    sold = local.groupBy(*outer, *fixed).agg(places.alias("_places"))
+    shared = [*outer, "market"]
+    sold = stage(sold.withColumn("_set", F.sha2(F.to_json("_places"), 256)), "sold_areas")
+    sets = sold.select(*shared, "_set", "_places").dropDuplicates([*shared, "_set"])
+    sets = sets.select(*shared, "_set", F.inline("_places"))
+
+    members = sem.null_safe_join(trusted, sets, area).filter(~_is_flagged())
+    by_set = [*shared, "_set", "seg"]
+    members = average_rank(members.select(*by_set, site, *inner, size, "_packs"), by_set, size, "_rx", weight="_packs")
+    members = stage(members, "size_ranks")
+    x, packs_there = F.col("_rx"), F.col("_packs")
+    totals = members.groupBy(*by_set).agg(
+        F.sum("_packs").cast("double").alias("_n"),
+        F.sum(x * x * packs_there).alias("_xx"),
+        sem.sum0(F.col(size) * packs_there).alias("_x"),
+    )
+    frame = sem.null_safe_join(sold.drop("_places"), totals, [*shared, "_set"]).withColumn(
+        "quarter", F.explode(F.array(*[F.lit(q) for q in quarters]))
+    )
+
+    # Rows with sales: their rank among each other, and the rank of their site's size.
+    rows = sem.null_safe_join(
+        observed.filter((F.col("sales") != 0) & F.col("quarter").isin(list(quarters))).select(site, *area, *pack, "quarter", "sales"),
+        trusted.select(site, *area, "seg", "flagged"),
+        [site, *area],
+    ).filter(~_is_flagged())
+    rows = sem.null_safe_join(rows.drop("flagged"), sold.drop("_places"), [*outer, *fixed])
+    rows = sem.null_safe_join(rows, members.select(*by_set, site, *inner, "_rx"), [*by_set, site, *inner])
+    rows = average_rank(rows.select(*group, "sales", "_rx"), group, "sales", "_ry")
+    y, above = F.col("_ry"), (F.col("sales") > 0).cast("int")
+    sums = rows.groupBy(*group).agg(
+        F.count(F.lit(1)).cast("double").alias("_k"),
+        F.sum(above).cast("double").alias("_above"),
+        F.sum(y * y).alias("_yy"),
+        F.sum(y * above).alias("_y_above"),
+        F.sum(x * y).alias("_xy"),
+        F.sum("_rx").alias("_x_rows"),
+        F.sum(x * above).alias("_x_above"),
+        sem.sum0("sales").alias("_sales"),
+    )
+    all_ = sem.null_safe_join(frame, sums, group, "left").na.fill(
+        0.0, ["_k", "_above", "_yy", "_y_above", "_xy", "_x_rows", "_x_above", "_sales"]
+    )
+    c = F.col
+    zeros = c("_n") - c("_k")
+    zero_rank = c("_k") - c("_above") + (zeros + 1) / 2
+    # Ranks above the zeros move up by their number.
+    yy = c("_yy") + 2 * zeros * c("_y_above") + zeros * zeros * c("_above") + zeros * zero_rank * zero_rank
+    xy = c("_xy") + zeros * c("_x_above") + zero_rank * (c("_n") * (c("_n") + 1) / 2 - c("_x_rows"))
+    middle = c("_n") * (c("_n") + 1) * (c("_n") + 1) / 4
+    sign = F.nullif(F.signum("_sales") * F.signum("_x"), F.lit(0.0))
+    deviation = F.sqrt(c("_xx") - middle) * F.sqrt(yy - middle)
+    return all_.select(*group, (sem.ratio(xy - middle, deviation) * sign).alias("spearman_cor"))
+
+
 def match_uniqueness(before: DataFrame, after: DataFrame, measure: str) -> DataFrame:
     """Totals before and after a join; unique is false if the join multiplied rows."""
     both = before.select(F.lit(0).alias("_side"), measure).unionByName(

@@ -4,15 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from panelcast.functions import semantics as sem
+from panelcast.operators.neighbours import knn_items
 from panelcast.operators.price import attach_price
 
+__all__ = [
+    "history_slice", "split_known_missing", "donor_growth", "months_from", "item_period_matrix", "as_vector",
+    "knn_items", "inverse_distance_weights", "neighbour_weighted_growth", "growth_cascade", "grow", "apply_growth",
+    "borrowed_price_ladder",
+]
+
 
 def history_slice(
     history: DataFrame,
@@ -108,123 +112,6 @@ def as_vector(matrix: DataFrame, periods: Sequence[str], out: str = "vector") ->
     return matrix.withColumn(out, F.array(*[F.col(p) for p in periods])).drop(*periods)
 
 
-def _train_scale(train: DataFrame, vector: str) -> DataFrame:
-    """One row: the sample standard deviation of each vector position.
-
-    A zero or undefined deviation scales by 1.
-    """
-    deviation = F.coalesce(F.nullif(F.stddev_samp("value"), F.lit(0.0)), F.lit(1.0))
-    per_position = (
-        train.select(F.posexplode(F.col(vector).cast("array<double>")).alias("pos", "value"))
-        .groupBy("pos")
-        .agg(deviation.alias("sd"))
-    )
-    # As many elements as a vector has positions: bounded by its dimension.
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "sd")))
-    return per_position.agg(F.transform(ordered, lambda x: x["sd"]).alias("sd"))
-
-
-def _nearest_in_block(k: int, budget_bytes: int = 64 << 20):
-    """k nearest train rows of one block for each test row of one block.
-
-    As many test rows are compared at once as keep the differences within the
-    budget, whatever the length of the vectors.
-    """
-
-    def nearest(test: pd.DataFrame, train: pd.DataFrame) -> pd.DataFrame:
-        if test.empty or train.empty:
-            return pd.DataFrame({"item": [], "neighbour": [], "distance": []})
-        train = train.sort_values("neighbour", kind="stable")
-        points = np.stack(train["point"].to_numpy())
-        queries = np.stack(test["vector"].to_numpy())
-        names, items = train["neighbour"].to_numpy(), test["item"].to_numpy()
-        width = min(k, len(train))
-        picks, gaps = [], []
-        rows_at_once = max(1, budget_bytes // max(1, points.nbytes))
-        for start in range(0, len(queries), rows_at_once):
-            diff = queries[start : start + rows_at_once, None, :] - points[None, :, :]
-            gap = np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
-            # Train rows are in id order, so a stable sort settles ties by id.
-            order = np.argsort(gap, axis=1, kind="stable")[:, :width]
-            picks.append(order)
-            gaps.append(np.take_along_axis(gap, order, axis=1))
-        order = np.concatenate(picks)
-        return pd.DataFrame(
-            {
-                "item": np.repeat(items, width),
-                "neighbour": names[order.ravel()],
-                "distance": np.concatenate(gaps).ravel(),
-            }
-        )
-
-    return nearest
-
-
-def knn_items(
-    items: DataFrame,
-    item: str,
-    vector: str = "vector",
-    train_flag: str = "train_flag",
-    k: int = 3,
-    block_rows: int = 4096,
-) -> DataFrame:
-    """The k nearest train items of every other item (exact).
-
-    Euclidean distance on positions divided by the deviation in the train set;
-    ties go to the smaller id. Both sides are hashed into blocks of about
-    ``block_rows`` rows. Each pair of blocks is one group, compared with numpy,
-    and returns only k rows per test item, from which the k best are taken.
-    Neither side is broadcast and no item pair is ever materialised.
-    """
-    is_train = F.col(train_flag) == 1
-    # Zero-row sides still make one block.
-    blocks = items.agg(
-        F.greatest(F.ceil(F.count_if(is_train) / block_rows), F.lit(1)).alias("train"),
-        F.greatest(F.ceil(F.count_if(~is_train) / block_rows), F.lit(1)).alias("test"),
-    )
-    train_blocks = blocks.select("train").scalar().cast("int")
-    test_blocks = blocks.select("test").scalar().cast("int")
-    scale = _train_scale(items.filter(is_train), vector).scalar()
-    scaled = items.withColumn("_scale", scale).select(
-        F.col(item).alias("item"),
-        is_train.alias("_train"),
-        F.zip_with(
-            F.col(vector).cast("array<double>"), "_scale", lambda v, s: v / s
-        ).alias("vector"),
-    )
-    bucket = F.xxhash64("item")
-    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    test = scaled.filter(~F.col("_train")).select(
-        "item", "vector", F.pmod(bucket, test_blocks).cast("int").alias("_a"),
-        every(train_blocks).alias("_b"),
-    )
-    train = scaled.filter("_train").select(
-        F.col("item").alias("neighbour"), F.col("vector").alias("point"),
-        every(test_blocks).alias("_a"),
-        F.pmod(bucket, train_blocks).cast("int").alias("_b"),
-    )
-    id_type = items.schema[item].dataType
-    schema = T.StructType(
-        [
-            T.StructField("item", id_type),
-            T.StructField("neighbour", id_type),
-            T.StructField("distance", T.DoubleType()),
-        ]
-    )
-    partial = (
-        test.groupBy("_a", "_b")
-        .cogroup(train.groupBy("_a", "_b"))
-        .applyInPandas(_nearest_in_block(k), schema)
-    )
-    # k rows per item and train block: small, whatever the number of items.
-    nearest = Window.partitionBy("item").orderBy("distance", "neighbour")
-    return (
-        partial.withColumn("knn_level", F.row_number().over(nearest))
-        .filter(F.col("knn_level") <= k)
-        .withColumnRenamed("item", item)
-    )
-
-
 def inverse_distance_weights(neighbours: DataFrame, item: str) -> DataFrame:
     """Weights 1 / (distance + 1), summing to 1 per item."""
     raw = neighbours.withColumn("_w", 1 / (F.col("distance") + 1))

@@ -273,8 +273,10 @@ def ratio_slope_compact(spark, sf):
     )
 )
 def spearman_by_group(spark, sf):
-    panel = stage(Projection(spark, sf).zero_filled(), "zero_filled")
-    out = op.spearman_by_group(panel, GROUP, "panel_sales", "est")
+    p = Projection(spark, sf)
+    out = op.spearman_compact(
+        p.sites, p.observed, p.observed, p.pairs, b.PERIODS, AREA, PACK, GROUP
+    )
     return rounded(out, 6, "spearman_cor")
 
 

@@ -398,3 +398,30 @@ def test_repeated_keys_are_listed_with_their_count(rows):
     df = rows("k string, x int", ("a", 1), ("a", 2), ("b", 3), (None, 4), (None, 5))
     assert values(deliver.duplicate_key_check(df, ["k"]), "k", "x", "n") == sorted(
         [("a", 1, 2), ("a", 2, 2), (None, 4, 2), (None, 5, 2)], key=repr)
+
+
+def test_spearman_without_the_panel_equals_the_long_form(spark):
+    rng = random.Random(4)
+    sites = [(f"s{i}", f"p{i % 2}", f"c{i % 5}", rng.choice([1, 2]), float(rng.randint(1, 6)), int(i % 9 > 0)) for i in range(60)]
+    quarters = ["q1", "q2", "q3"]
+    observed = []
+    for s, p, c, _, _, _ in sites:
+        for item in range(8):
+            for q in quarters[:2]:
+                if rng.random() < 0.3 and (item + int(c[1])) % 3:
+                    observed.append((s, p, c, f"m{item % 2}", f"a{item}", f"i{item // 2}", q, float(rng.choice([-2, -1, 0, 1, 2, 3, 3]))))
+    site_df = spark.createDataFrame(sites, "site string, province string, city string, seg int, est double, panel int")
+    sales = spark.createDataFrame(observed, "site string, province string, city string, market string, atc3 string, item string, quarter string, sales double")
+    pairs = spark.createDataFrame([(f"s{i}", "m1") for i in range(0, 60, 7)], "site string, market string")
+    area, pack, group = ["province", "city"], ["market", "atc3", "item"], ["province", "quarter", "item", "market", "seg"]
+    skeleton = project.demote_pairs(project.expand_universe(site_df, sales, quarters, area, pack), pairs, ["site", "market"])
+    panel = project.zero_filled_panel(skeleton, sales, ["quarter", "site", *area, *pack], ["est", "seg"])
+    long = project.spearman_by_group(panel, group, "panel_sales", "est")
+    short = project.spearman_compact(site_df, sales, sales, pairs, quarters, area, pack, group)
+
+    def seen(df):
+        return sorted((*[r[g] for g in group], None if r.spearman_cor is None else round(r.spearman_cor, 9)) for r in df.collect())
+
+    got = seen(short)
+    assert [g[:5] for g in got] == [g[:5] for g in seen(long)] and got == seen(long)
+    assert sum(g[5] is not None for g in got) > 20

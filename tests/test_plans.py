@@ -71,3 +71,7 @@ def test_filters_and_columns_reach_the_scan(plans):
 def test_results_are_not_gathered_by_unpartitioned_windows(plans):
     for name, text in plans.items():
         assert not re.search(r"Exchange SinglePartition.*\n.*Window ", text), name
+
+
+def test_rank_correlation_builds_no_universe(plans):
+    assert "_place" in plans["expand_universe"] and "_place" not in plans["spearman_by_group"]
