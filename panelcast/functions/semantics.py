@@ -70,6 +70,15 @@ def bounded_or(c: ColumnLike, default: float, low: float, high: float) -> Column
     return F.when(col(c).between(low, high), col(c)).otherwise(F.lit(default))
 
 
+def half_even(c: ColumnLike, digits: int) -> Column:
+    """Rounded half to even by the decimal digits of the value (nine are kept), as double.
+
+    Values too large for that, infinite or no number are rounded as doubles.
+    """
+    exact = F.bround(col(c).cast("double").try_cast("decimal(28,9)"), digits).cast("double")
+    return F.coalesce(exact, F.bround(col(c).cast("double"), digits))
+
+
 # --- three-valued logic -------------------------------------------------------
 
 

@@ -272,7 +272,7 @@ def therapeutic_class_rules(
     return df.filter(F.col("molecule") != drop_molecule).withColumns(
         {
             "class_label": label,
-            **{m: F.bround(m, digits) for m, digits in rounding.items()},
+            **{m: sem.half_even(m, digits) for m, digits in rounding.items()},
         }
     )
 
@@ -287,22 +287,27 @@ def pack_period_override(
 ) -> DataFrame:
     """History of listed packs scaled into the following year at its own price.
 
-    ``factors`` lists (pack, quarter, factor); other rows are dropped.
+    ``factors`` lists (pack, quarter, factor); other rows are dropped. Products
+    are worked out and rounded in decimals. At an unchanged price units grow by
+    the same factor; without a price (no sales or no units) they are NULL.
     """
-    factor = F.lit(None).cast("double")
+    factor = F.lit(None).cast("decimal(12,8)")
     for pack, quarter, value in factors:
         hit = (F.col("packid") == pack) & (F.col("quarter") == quarter)
-        factor = F.when(hit, F.lit(float(value))).otherwise(factor)
+        factor = F.when(hit, F.lit(str(value)).cast("decimal(12,8)")).otherwise(factor)
     scaled = history.filter(scope).withColumn("_factor", factor)
     scaled = scaled.filter(F.col("_factor").isNotNull() & F.col("sales").isNotNull())
-    price = sem.ratio("sales", "units")
-    new_sales = F.col("sales") * F.col("_factor")
-    new_units = sem.ratio(new_sales, price)
+    units = F.when(
+        (F.col("sales") != 0) & (F.col("units") != 0), F.col("units").cast("decimal(16,6)") * F.col("_factor")
+    )
+    new = {
+        "sales": (F.col("sales").cast("decimal(20,6)") * F.col("_factor"), 2),
+        "units": (units, 0),
+        "dosage_units": (units * F.col("quantity"), 0),
+    }
     return scaled.withColumns(
         {
-            "sales": F.bround(new_sales, 2),
-            "units": F.bround(new_units, 0),
-            "dosage_units": F.bround(new_units * F.col("quantity"), 0),
+            **{name: F.bround(value, digits).cast("double") for name, (value, digits) in new.items()},
             "quarter": shift_year("quarter"),
         }
     ).drop("_factor")
@@ -359,7 +364,7 @@ def consolidate_delivery(
 ) -> DataFrame:
     """Final grain: rounded sums and the last description and dosage."""
     sums = sem.sums_with_picks(df, keys, {c: sem.last_valid(c) for c in last}, list(rounding))
-    return sums.withColumns({m: F.bround(m, digits) for m, digits in rounding.items()})
+    return sums.withColumns({m: sem.half_even(m, digits) for m, digits in rounding.items()})
 
 
 def back_out_allocation(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.functions import semantics as sem
@@ -51,41 +51,39 @@ def price_grains(panel: DataFrame, pack: str = "packid") -> DataFrame:
     )
 
 
-def resolve_prices(places: DataFrame, grains: DataFrame, pack: str = "packid") -> DataFrame:
-    """Price of each pack × place × period from the finest grain that has one.
+def _asked(name: str) -> Column:
+    """Key of a grain in the map of a pack: the grain and the columns that it has, missing ones marked."""
+    cells = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in LADDER[name]]
+    return F.concat_ws("\u0001", F.lit(name), *cells)
 
-    Every combination asks for its price at all six grains in one join; the
-    answers are folded back to one row, the finest known price first.
+
+def price_map(grains: DataFrame, pack: str = "packid") -> DataFrame:
+    """One row per pack: its prices at all grains in one map column ``prices``.
+
+    A pack has at most as many prices as there are places and periods, which
+    doesn't grow with the transactions.
     """
-    by = [pack, *PLACE_TIME]
-    asked = [
-        F.struct(
-            F.lit(name).alias("grain"),
-            *[
-                (F.col(c) if c in keys else F.lit(None).cast("string")).alias(f"_{c}")
-                for c in PLACE_TIME
-            ],
-        )
-        for name, keys in LADDER.items()
-    ]
-    questions = places.select(*by, F.inline(F.array(*asked)))
-    keyed = grains.withColumnsRenamed({c: f"_{c}" for c in PLACE_TIME})
-    answers = sem.null_safe_join(
-        questions, keyed, [pack, "grain", *[f"_{c}" for c in PLACE_TIME]], "inner"
-    )
-    known = [F.max(F.when(F.col("grain") == name, F.col("price"))) for name in LADDER]
-    return answers.groupBy(*by).agg(F.coalesce(*known).alias("price"))
+    key = F.lit(None).cast("string")
+    for name in LADDER:
+        key = F.when(F.col("grain") == name, _asked(name)).otherwise(key)
+    known = grains.filter(F.col("price").isNotNull()).select(pack, key.alias("_key"), "price")
+    single = known.groupBy(pack, "_key").agg(F.max("price").alias("price"))
+    entries = F.collect_list(F.struct("_key", "price"))
+    return single.groupBy(pack).agg(F.map_from_entries(entries).alias("prices"))
 
 
 def attach_price(targets: DataFrame, grains: DataFrame, pack: str = "packid") -> DataFrame:
-    """Resolved price and units = sales / price on every target row.
+    """Price of the finest grain that has one, and units = sales / price, on every target row.
 
-    The ladder is worked out for the distinct pack × place × period combinations;
-    the target rows themselves are joined once.
+    Target rows meet the prices of their pack in one join on the pack and look
+    the six grains up in place.
     """
-    by = [pack, *PLACE_TIME]
-    resolved = resolve_prices(targets.select(*by).distinct(), grains, pack)
-    priced = sem.null_safe_join(targets, resolved, by, "left")
+    name = "_prices"
+    while name in targets.columns:
+        name += "_"
+    priced = sem.null_safe_join(targets, price_map(grains, pack).withColumnRenamed("prices", name), [pack], "left")
+    ladder = [F.try_element_at(F.col(name), _asked(grain)) for grain in LADDER]
+    priced = priced.withColumn("price", F.coalesce(*ladder)).drop(name)
     return priced.withColumn("units", sem.ratio("sales", "price"))
 
 

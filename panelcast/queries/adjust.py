@@ -120,7 +120,7 @@ def back_out_allocation(spark, sf):
 
 @query(
     with_(
-        b.SAMPLE, price.BASE, price.grain_sql("base"), price.TARGETS, price.ladder_sql("targets"),
+        b.PANEL, price.PRICED,
         """ladder AS (SELECT *, sales / nullif(price, 0) AS units FROM priced
                       WHERE sales > 0 AND price > 0 AND sales / nullif(price, 0) > 0)""",
         """moved AS (

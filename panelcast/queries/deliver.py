@@ -8,7 +8,7 @@ from panelcast.functions import semantics as sem
 from panelcast.operators import deliver as op
 from panelcast.queries import bindings as b
 from panelcast.queries.channel import pack_details
-from panelcast.queries.registry import in_, query, total0, values, with_
+from panelcast.queries.registry import half_even, in_, query, total0, values, with_
 from panelcast.sources.stages import stage
 
 KEYS = ["province", "city", "year", "quarter", "market", "atc3", "molecule", "packid"]
@@ -513,15 +513,17 @@ OVERRIDE_FACTORS = [
 _CITY_LIST = ", ".join(f"'{c}'" for c in OVERRIDE_CITIES)
 _FACTORS = values(OVERRIDE_FACTORS, ["packid", "quarter", "factor"], "factors")
 _OVERRIDE = f"""scaled AS (
-  SELECT h.*, f.factor, h.sales / nullif(h.units, 0) AS price
+  SELECT h.*, CAST(f.factor AS DECIMAL(12, 8)) AS factor,
+         CASE WHEN h.sales <> 0 AND h.units <> 0
+              THEN CAST(h.units AS DECIMAL(16, 6)) * CAST(f.factor AS DECIMAL(12, 8)) END AS new_units
   FROM history h JOIN factors f ON f.packid = h.packid AND f.quarter = h.quarter
   WHERE h.channel = '{CHANNEL}' AND h.city IN ({_CITY_LIST})),
 override_ AS (
   SELECT {_list(c for c in HISTORY_COLUMNS if c not in ('quarter', 'sales', 'units', 'dosage_units'))},
          CAST(CAST(substr(quarter, 1, 4) AS INTEGER) + 1 AS VARCHAR) || substr(quarter, 5, 2) AS quarter,
-         round_even(sales * factor, 2) AS sales,
-         round_even((sales * factor) / nullif(price, 0), 0) AS units,
-         round_even((sales * factor) / nullif(price, 0) * quantity, 0) AS dosage_units
+         CAST(round_even(CAST(sales AS DECIMAL(20, 6)) * factor, 2) AS DOUBLE) AS sales,
+         CAST(round_even(new_units, 0) AS DOUBLE) AS units,
+         CAST(round_even(new_units * quantity, 0) AS DOUBLE) AS dosage_units
   FROM scaled)"""
 _BASE = [b.PANEL, b.CORPORATIONS, _HISTORY]
 
@@ -606,8 +608,8 @@ _COARSE = [k for k in DELIVERY_KEYS if k not in ("packid", "quantity", "corp_des
     with_(
         *_BASE,
         f"""SELECT {_list(_COARSE)}, max(pack_desc) AS pack_desc, max(dosage) AS dosage,
-                   round_even({total0('sales')}, 2) AS sales, round_even({total0('units')}, 0) AS units,
-                   round_even({total0('dosage_units')}, 0) AS dosage_units
+                   {half_even(total0('sales'), 2)} AS sales, {half_even(total0('units'), 0)} AS units,
+                   {half_even(total0('dosage_units'), 0)} AS dosage_units
             FROM history GROUP BY {_list(_COARSE)}""",
     )
 )

@@ -28,21 +28,29 @@ def grain_sql(source: str) -> str:
     return "grains AS MATERIALIZED (" + "\nUNION ALL ".join(parts) + ")"
 
 
-def ladder_sql(target: str) -> str:
-    """The six left joins written out."""
-    joins = "\n".join(
-        f"LEFT JOIN (SELECT {', '.join(['packid', *keys])}, price FROM grains WHERE grain = '{name}') g{i} "
-        f"ON {' AND '.join(f't.{k} = g{i}.{k}' for k in ['packid', *keys])}"
-        for i, (name, keys) in enumerate(op.LADDER.items())
+def window_total(x: str, keys: str) -> str:
+    """SQL of an exact sum over the rows that share keys."""
+    over = f"OVER (PARTITION BY {keys})"
+    return (
+        f"(CAST(sum(CAST(floor({x}) AS BIGINT)) {over} * 1000000000"
+        f" + sum(CAST(floor(({x} - floor({x})) * 1000000000 + 0.5) AS BIGINT)) {over} AS DOUBLE) / 1000000000)"
     )
-    price = ", ".join(f"g{i}.price" for i in range(len(op.LADDER)))
-    return f"priced AS (SELECT t.*, coalesce({price}) AS price FROM {target} t {joins})"
 
 
+_GRAINS = [", ".join(["packid", *keys]) for keys in op.LADDER.values()]
+_LADDER = ", ".join(f"{window_total('sold', g)} / nullif({window_total('moved', g)}, 0)" for g in _GRAINS)
+#: Every sale of the year with the finest price of its pack, place and period; no joins.
+PRICED = f"""marked AS (
+  SELECT *, size >= {b.REPORTING_SIZE} AND sales > 0 AND units > 0 AS counts FROM panel WHERE year = '2000'),
+measured AS (
+  SELECT *, CAST(CASE WHEN counts THEN sales END AS DOUBLE) AS sold,
+         CAST(CASE WHEN counts THEN units END AS DOUBLE) AS moved FROM marked),
+laddered AS (
+  SELECT {', '.join(TARGET)}, sales, coalesce({_LADDER}) AS price FROM measured),
+priced AS (
+  SELECT {', '.join(TARGET)}, {total0('sales')} AS sales, any_value(price) AS price
+  FROM laddered GROUP BY {', '.join(TARGET)})"""
 BASE = "base AS (SELECT * FROM sample WHERE year = '2000')"
-TARGETS = f"""targets AS (
-  SELECT {', '.join(TARGET)}, {total0('sales')} AS sales FROM panel WHERE year = '2000'
-  GROUP BY {', '.join(TARGET)})"""
 
 
 def grains(spark, sf):
@@ -56,7 +64,7 @@ def price_grains(spark, sf):
 
 @query(
     with_(
-        b.SAMPLE, BASE, grain_sql("base"), TARGETS, ladder_sql("targets"),
+        b.PANEL, PRICED,
         """SELECT *, sales / nullif(price, 0) AS units FROM priced
            WHERE sales > 0 AND price > 0 AND sales / nullif(price, 0) > 0""",
     )

@@ -39,6 +39,11 @@ def total0(x: str) -> str:
     return f"coalesce({total(x)}, 0.0)"
 
 
+def half_even(x: str, digits: int) -> str:
+    """SQL of rounding half to even by the decimal digits of a double."""
+    return f"CAST(round_even(CAST({x} AS DECIMAL(28, 9)), {digits}) AS DOUBLE)"
+
+
 def values(rows: Sequence[Sequence], names: Sequence[str], alias: str) -> str:
     """SQL VALUES list as a common table expression."""
 

@@ -8,8 +8,7 @@ from panelcast.functions import semantics as sem
 from panelcast.operators import price as price_op
 from panelcast.operators import transfer as op
 from panelcast.queries import bindings as b
-from panelcast.queries.price import grain_sql, ladder_sql
-from panelcast.queries.registry import query, rounded, total0, with_
+from panelcast.queries.registry import query, rounded, total, total0, with_
 from panelcast.sources.stages import stage
 
 DONOR, TARGET = "EUROPE", "ASIA"
@@ -239,13 +238,17 @@ def apply_growth(spark, sf):
     return rounded(out, 4, "sales", "units")
 
 
-_BORROWED = f"""sampled AS (SELECT * REPLACE (province AS city) FROM sample WHERE year = '2000'),
-{grain_sql('sampled').replace('grains AS', 'all_grains AS', 1)},
-grains AS (
-  SELECT * REPLACE (
-    CASE WHEN grain IN ('quarter', 'year') THEN province ELSE '{TARGET}' END AS province,
-    CASE WHEN grain IN ('city_quarter', 'city_year') THEN '{TARGET}' ELSE city END AS city)
-  FROM all_grains WHERE grain IN ('quarter', 'year') OR province = '{DONOR}')"""
+def _donor_price(scope: str) -> str:
+    return f"{total(f'CASE WHEN {scope} THEN sales END')} / nullif({total(f'CASE WHEN {scope} THEN units END')}, 0)"
+
+
+_BORROWED = f"""prices AS (
+  SELECT packid,
+         coalesce({_donor_price(f"province = '{DONOR}' AND quarter = '{AFTER}'")},
+                  {_donor_price(f"province = '{DONOR}'")},
+                  {_donor_price(f"quarter = '{AFTER}'")},
+                  {_donor_price("true")}) AS price
+  FROM sample WHERE year = '{AFTER[:4]}' AND sales > 0 AND units > 0 GROUP BY packid)"""
 
 
 @query(
@@ -256,9 +259,9 @@ grains AS (
                     '{AFTER}' AS quarter, '{AFTER[:4]}' AS year, t.sales * c.growth AS sales
              FROM target t JOIN cascade_ c ON c.city = t.city AND c.packid = t.packid
              WHERE t.sales * c.growth > 0)""",
-        ladder_sql("grown"),
-        """SELECT * REPLACE (round(sales, 4) AS sales), round(sales / nullif(price, 0), 4) AS units
-           FROM priced""",
+        """SELECT g.* REPLACE (round(g.sales, 4) AS sales), p.price,
+                  round(g.sales / nullif(p.price, 0), 4) AS units
+           FROM grown g LEFT JOIN prices p ON p.packid = g.packid""",
     )
 )
 def borrowed_price_ladder(spark, sf):
