@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelcast.functions import semantics as sem
@@ -345,6 +345,53 @@ def restated_periods(delivered: DataFrame, periods: Sequence[str]) -> DataFrame:
     return delivered.filter(F.col("quarter").isin(list(periods)))
 
 
+def change_set(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """What turns old into new: rows of new that are inserted or changed, and rows of old that are removed.
+
+    Rows are matched by key, a missing key to a missing key; rows that share a
+    key are matched one by one, equal ones first. A changed row carries its new
+    values. ``change`` is one of inserted, changed and removed; ``occurrence``
+    tells rows of one key apart.
+    """
+    values = [c for c in new.columns if c not in keys]
+
+    def rows(df: DataFrame) -> DataFrame:
+        return df.select(*keys, F.struct(*values).alias("_row"))
+
+    # Equal rows of both sides cancel out by their number, so that only the rest is matched by key.
+    counted = rows(old).withColumn("_n", F.lit(-1)).unionByName(rows(new).withColumn("_n", F.lit(1)))
+    left_over = counted.groupBy(*keys, "_row").agg(F.sum("_n").alias("_n")).filter("_n <> 0")
+    each = left_over.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.abs("_n"))))
+    order = Window.partitionBy(*keys, F.signum("_n")).orderBy("_row", "_copy")
+    each = each.withColumn("occurrence", F.row_number().over(order))
+    paired = each.groupBy(*keys, "occurrence").agg(
+        F.max(F.when(F.col("_n") < 0, F.col("_row"))).alias("_old"),
+        F.max(F.when(F.col("_n") > 0, F.col("_row"))).alias("_new"),
+    )
+    change = F.when(F.col("_old").isNull(), "inserted").when(F.col("_new").isNull(), "removed").otherwise("changed")
+    shown = F.coalesce("_new", "_old")
+    before = F.when(F.col("_new").isNotNull(), F.col("_old"))
+    return paired.select(
+        change.alias("change"), *keys, "occurrence", *[shown[v].alias(v) for v in values], before.alias("before")
+    )
+
+
+def apply_changes(old: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """old with a change set applied: as many copies of each removed or replaced row go as the changes name."""
+    values = [c for c in old.columns if c not in keys]
+    now = F.struct(*values)
+    gone = changes.filter("change <> 'inserted'").select(
+        *keys, F.when(F.col("change") == "changed", F.col("before")).otherwise(now).alias("_row"), F.lit(-1).alias("_n")
+    )
+    come = changes.filter("change <> 'removed'").select(*keys, now.alias("_row"), F.lit(1).alias("_n"))
+    touched = changes.select(*keys).distinct()
+    stay = sem.null_safe_join(old, touched, keys, "left_anti")
+    moved = sem.null_safe_join(old, touched, keys, "left_semi").select(*keys, now.alias("_row"), F.lit(1).alias("_n"))
+    counted = moved.unionByName(gone).unionByName(come).groupBy(*keys, "_row").agg(F.sum("_n").alias("_n"))
+    result = counted.filter("_n > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "_n")))
+    return stay.unionByName(result.select(*keys, *[F.col("_row")[v].alias(v) for v in values]))
+
+
 def mat_label(df: DataFrame, end: str, windows: int = 3, quarter: str = "quarter") -> DataFrame:
     """Label of the four-quarter window, counted back from the reporting quarter."""
     end_year, end_quarter = int(end[:4]), int(end[5])

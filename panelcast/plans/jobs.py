@@ -2,8 +2,10 @@
 
 Each job takes canonical DataFrames, stores its result as a stage table and
 returns that, so that the next job scans neither the feeds nor the steps before
-again. What several steps of a job read is stored too. Checks of the results
-are in ``panelcast.plans.checks``.
+again. What several steps of a job read is stored too. With a ``Run``, all
+stages of a job belong to it: their control totals are counted while they are
+written, a lost run goes on after its last finished stage, and closing the run
+removes them. Further checks of the results are in ``panelcast.plans.checks``.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from panelcast import config as cfg
 from panelcast.config import Periods
 from panelcast.functions import semantics as sem
 from panelcast.operators import adjust, channel, conform, deliver, impute, price, project, transfer
+from panelcast.sources.runs import Run
 from panelcast.sources.stages import stage
 
 PANEL_KEYS = [
@@ -40,6 +43,15 @@ FEED_RULES = {
 }
 
 
+def _keep(run: Run | None):
+    """How a job stores its stages: in its run, or else one by one."""
+
+    def keep(df: DataFrame, name: str, measures: Sequence[str] = (), by: dict | None = None) -> DataFrame:
+        return run.stage(df, name, measures, by) if run else stage(df, name)
+
+    return keep
+
+
 # --- 1. canonical panel ---------------------------------------------------------
 
 
@@ -122,31 +134,37 @@ def panel_rows(inputs: PanelInputs) -> DataFrame:
     return total
 
 
-def panel_job(inputs: PanelInputs, periods: Periods) -> DataFrame:
-    total = stage(panel_rows(inputs), "panel_rows")
+def panel_job(inputs: PanelInputs, periods: Periods, run: Run | None = None) -> DataFrame:
+    keep = _keep(run)
+    total = keep(panel_rows(inputs), "panel_rows", ["units", "sales"], {"quarter": periods.panel_quarters})
     total = conform.validity_gate(
         total, ["site", "market"], ["units", "sales"], {"site": cfg.NOT_AVAILABLE},
         periods.panel_quarters,
     )
     total = conform.recode_ids(total, prefix={"packid": cfg.PACK_PREFIX_RECODES})
     total = conform.fill_attrs_within_key(total, ["site"], AREA, "source_rank")
-    return stage(conform.canonical_panel(total, PANEL_KEYS), "panel")
+    panel = conform.canonical_panel(total, PANEL_KEYS)
+    return keep(panel, "panel", ["units", "sales"], {"quarter": periods.panel_quarters})
 
 
 # --- 2. imputation --------------------------------------------------------------
 
 
-def impute_job(panel: DataFrame, periods: Periods, cities: Sequence[str] | None = None) -> DataFrame:
+def impute_job(
+    panel: DataFrame, periods: Periods, cities: Sequence[str] | None = None, run: Run | None = None
+) -> DataFrame:
     """Observed panel with the estimated months of the target cities."""
+    keep = _keep(run)
     wanted = cfg.IMPUTED_CITIES if cities is None else cities
-    scope = stage(
+    scope = keep(
         impute.with_quarter_parts(panel.filter(F.col("city").isin(list(wanted)))), "impute_scope"
     )
     cont = impute.period_continuity(scope, CELL, periods.years)
     growth = impute.bounded_growth(scope, cont, CELL, GROWTH, periods.years)
     wide = impute.impute_paired_period(scope, cont, growth, CELL, ITEM, GROWTH, periods.years)
     long = impute.rebuild_periods(impute.unpivot_compound(wide, ["flag", "sales"], "year"))
-    return stage(impute.merge_imputed(panel, long, IMPUTED_KEYS), "imputed")
+    merged = impute.merge_imputed(panel, long, IMPUTED_KEYS)
+    return keep(merged, "imputed", ["sales"], {"quarter": periods.panel_quarters, "flag1": [0, 1]})
 
 
 # --- 3. projection --------------------------------------------------------------
@@ -166,9 +184,10 @@ class ProjectInputs:
     extra_size_province: str = cfg.EXTRA_SIZE_PROVINCE
 
 
-def project_job(inputs: ProjectInputs, periods: Periods) -> DataFrame:
+def project_job(inputs: ProjectInputs, periods: Periods, run: Run | None = None) -> DataFrame:
     """Universe estimate: ratio projection, and equal shares for one city."""
-    universe = stage(
+    keep = _keep(run)
+    universe = keep(
         project.site_universe(inputs.panel, inputs.universe, "site", [*AREA, "est"]), "universe"
     )
     known = inputs.sizes.filter(F.col("est") > 0).select("province", "city", "site", "est")
@@ -179,7 +198,7 @@ def project_job(inputs: ProjectInputs, periods: Periods) -> DataFrame:
     sites = sem.lookup_join(sites, universe, ["province", "city", "site"], ["district"])
     sites = project.panel_membership(sites, inputs.panel, "site", "est")
     sites = project.trusted_sites(sites, inputs.outliers, inputs.historic_sites, "site")
-    sites = stage(
+    sites = keep(
         project.assign_segment(
             sites, inputs.segments, "city", "district", cfg.SPLIT_SEGMENT_CITIES
         ),
@@ -187,9 +206,9 @@ def project_job(inputs: ProjectInputs, periods: Periods) -> DataFrame:
     )
 
     rows = inputs.imputed.filter(F.col("quarter").isin(list(periods.projected_quarters)))
-    rows = stage(
+    rows = keep(
         rows.groupBy("quarter", *AREA, "site", *PACK).agg(sem.sum0("sales").alias("sales")),
-        "quarter_sales",
+        "quarter_sales", ["sales"], {"quarter": periods.projected_quarters},
     )
     excluded = [*cfg.SPLIT_SEGMENT_CITIES, cfg.EQUAL_SHARE_CITY]
     most = rows.filter(sem.not_in("city", excluded))
@@ -212,13 +231,16 @@ def project_job(inputs: ProjectInputs, periods: Periods) -> DataFrame:
         for p in (scored, equal)
     ]
     keys = ["year", "quarter", "province", "city", "site", *PACK, "panel"]
-    return stage(project.projection_rollup(*parts, keys=keys), "projected")
+    projected = project.projection_rollup(*parts, keys=keys)
+    return keep(projected, "projected", ["sales"], {"quarter": periods.projected_quarters, "panel": [0, 1]})
 
 
 # --- 4. price and adjustment ----------------------------------------------------
 
 
-def price_adjust_job(projected: DataFrame, panel: DataFrame, periods: Periods) -> DataFrame:
+def price_adjust_job(
+    projected: DataFrame, panel: DataFrame, periods: Periods, run: Run | None = None
+) -> DataFrame:
     """Priced projection after class split and scaling of unobserved rows."""
     grains = price.price_grains(panel.filter(F.col("year") == periods.current_year))
     priced = price.price_ladder(projected, grains)
@@ -226,8 +248,9 @@ def price_adjust_job(projected: DataFrame, panel: DataFrame, periods: Periods) -
         priced, cfg.REASSIGNED_CLASSES, cfg.REASSIGNED_MARKET, cfg.EXCLUDED_MOLECULES
     )
     split = adjust.split_across_markets(moved, cfg.ALLOCATION, ["sales", "units"])
-    return stage(
-        adjust.scale_in_place(split, cfg.SCALED_MARKETS, cfg.SCALE_OVERRIDES), "adjusted"
+    return _keep(run)(
+        adjust.scale_in_place(split, cfg.SCALED_MARKETS, cfg.SCALE_OVERRIDES), "adjusted", ["units", "sales"],
+        {"quarter": periods.projected_quarters, "market": cfg.SCALED_MARKETS, "panel": [0, 1]},
     )
 
 
@@ -240,12 +263,15 @@ def transfer_job(
     external: DataFrame,
     periods: Periods,
     own_prices: bool = False,
+    run: Run | None = None,
 ) -> DataFrame:
     """Current-period estimate of the target city from donor and neighbour growth.
 
     Units come from the prices of the donor city, or with ``own_prices`` from the
     target's own prices of the base quarter and the listed overrides.
     """
+    keep = _keep(run)
+    totals = ["units", "sales"], {"quarter": [periods.report_quarter]}
     recoded = conform.recode_ids(
         history.withColumn("packid", sem.pad_id("packid")),
         prefix={"packid": cfg.PACK_PREFIX_RECODES},
@@ -255,13 +281,13 @@ def transfer_job(
         & (F.col("province") == cfg.TRANSFER_TARGET)
         & (F.col("quarter") == periods.base_quarter)
     )
-    target = stage(
+    target = keep(
         transfer.history_slice(
             recoded, scope, ["quarter", *PACK], ["province", "city"], ["units", "sales"]
         ),
         "target",
     )
-    own = stage(
+    own = keep(
         transfer.donor_growth(
             panel, F.col("city") == cfg.TRANSFER_DONOR, cfg.TRANSFER_TARGET,
             (periods.base_quarter, periods.report_quarter), target, "packid", cfg.GROWTH_CEILING,
@@ -271,9 +297,9 @@ def transfer_job(
     outside = external.filter(F.col("geography") == cfg.EXTERNAL_GEOGRAPHY).withColumns(
         {"period": F.regexp_replace("period", "M", ""), "packid": sem.pad_id("packid")}
     )
-    outside = stage(outside, "external")
+    outside = keep(outside, "external")
     months = transfer.months_from(outside, "period", periods.external_start)
-    matrix = stage(
+    matrix = keep(
         transfer.item_period_matrix(outside, "packid", "period", "sales", months, own), "matrix"
     )
     near = transfer.knn_items(transfer.as_vector(matrix, months), "packid", k=cfg.NEIGHBOURS)
@@ -284,22 +310,27 @@ def transfer_job(
         own_priced = transfer.apply_growth(
             target, growth, cfg.PRICE_OVERRIDES, "packid", periods.report_quarter
         )
-        return stage(own_priced.select(*PLACE_PACK, "units", "sales", "price"), "transferred")
-    grown = stage(transfer.grow(target, growth, "packid", periods.report_quarter), "grown")
+        return keep(own_priced.select(*PLACE_PACK, "units", "sales", "price"), "transferred_own", *totals)
+    grown = keep(transfer.grow(target, growth, "packid", periods.report_quarter), "grown")
 
     grains = price.price_grains(panel.filter(F.col("year") == periods.current_year))
     relabelled = price.relabel_grains(
         grains, cfg.TRANSFER_DONOR, cfg.TRANSFER_DONOR, cfg.TRANSFER_TARGET, cfg.TRANSFER_TARGET
     )
     priced = transfer.borrowed_price_ladder(grown, relabelled)
-    return stage(priced.select(*PLACE_PACK, "units", "sales", "price"), "transferred")
+    return keep(priced.select(*PLACE_PACK, "units", "sales", "price"), "transferred", *totals)
 
 
 # --- 6. second channel ----------------------------------------------------------
 
 
 def channel_job(
-    feed: DataFrame, markets: DataFrame, products: DataFrame, details: DataFrame, periods: Periods
+    feed: DataFrame,
+    markets: DataFrame,
+    products: DataFrame,
+    details: DataFrame,
+    periods: Periods,
+    run: Run | None = None,
 ) -> DataFrame:
     """Sites of the second channel, priced as sold, split and gated by form.
 
@@ -324,7 +355,10 @@ def channel_job(
     rows = channel.dosage_form_gate(
         rows, cfg.ORAL_FORMS, 4, cfg.DROPPED_CLASSES, bypass=cfg.REASSIGNED_CLASSES
     )
-    return rows.withColumn("channel", F.lit("CHS"))
+    rows = rows.withColumn("channel", F.lit("CHS"))
+    if run is None:
+        return rows
+    return run.stage(rows, "second_channel", MEASURES, {"quarter": periods.projected_quarters})
 
 
 # --- 7. delivery ----------------------------------------------------------------
@@ -358,7 +392,7 @@ MEASURES = ["sales", "units", "dosage_units"]
 DELIVERY_KEYS = [c for c in DELIVERED if c not in ("pack_desc", "dosage", *MEASURES)]
 
 
-def current_channels(inputs: DeliveryInputs, periods: Periods) -> DataFrame:
+def current_channels(inputs: DeliveryInputs, periods: Periods, run: Run | None = None) -> DataFrame:
     """Totals of all channels at delivery grain."""
     flags = inputs.site_flags.filter(F.col("in_scope").isNotNull())
     sampled = deliver.flagged_site_filter(
@@ -374,7 +408,7 @@ def current_channels(inputs: DeliveryInputs, periods: Periods) -> DataFrame:
     rows = sampled.select(*facts).unionByName(inputs.transferred.select(*facts))
     args = (packs, products, PLACE_PACK, cfg.OVERRIDE_CHANNEL)
     rows = deliver.without_class(rows, cfg.SUPPLEMENT_CLASS)
-    main = stage(deliver.delivery_aggregate(rows, *args, cfg.ORAL_FORMS), "delivery")
+    main = _keep(run)(deliver.delivery_aggregate(rows, *args, cfg.ORAL_FORMS), "delivery")
     extra = deliver.class_supplement(
         inputs.adjusted, *args, cfg.SUPPLEMENT_CLASS, cfg.ORAL_FORMS
     )
@@ -382,14 +416,14 @@ def current_channels(inputs: DeliveryInputs, periods: Periods) -> DataFrame:
     return deliver.channel_union(main, extra, inputs.second_channel, names=names)
 
 
-def enrich(rows: DataFrame, inputs: DeliveryInputs) -> DataFrame:
+def enrich(rows: DataFrame, inputs: DeliveryInputs, run: Run | None = None) -> DataFrame:
     """Policy, origin, profile, class and text attributes."""
     suffixed = F.regexp_replace("city", cfg.CITY_SUFFIX, "")
     cities = inputs.policy_cities.filter(F.col("policy") == cfg.POLICY_CATEGORY)
     bids = deliver.clean_bid_labels(
         inputs.bids, cfg.MERGED_BID_LABELS, cfg.MERGED_BID_LABEL, cfg.BID_SUFFIX
     )
-    rows = stage(rows, "channels")
+    rows = _keep(run)(rows, "channels", MEASURES)
     out = deliver.policy_flags(rows, cities.withColumn("city", suffixed), bids)
     lookups = deliver.reference_split(
         inputs.nature,
@@ -422,9 +456,10 @@ def enrich(rows: DataFrame, inputs: DeliveryInputs) -> DataFrame:
     return out.withColumn("period_mat", F.lit(None).cast("string")).select(*DELIVERED)
 
 
-def delivery_job(inputs: DeliveryInputs, periods: Periods) -> DataFrame:
+def delivery_job(inputs: DeliveryInputs, periods: Periods, run: Run | None = None) -> DataFrame:
     """The delivered history restated with the reporting quarter."""
-    new_rows = stage(enrich(current_channels(inputs, periods), inputs), "enriched")
+    keep = _keep(run)
+    new_rows = keep(enrich(current_channels(inputs, periods, run), inputs, run), "enriched", MEASURES)
     padded = inputs.history.withColumn("packid", sem.pad_id("packid"))
     corp = F.col("corp_desc")
     for product, name in cfg.CORP_BY_PRODUCT.items():
@@ -449,7 +484,8 @@ def delivery_job(inputs: DeliveryInputs, periods: Periods) -> DataFrame:
         out, DELIVERY_KEYS, ["pack_desc", "dosage"], cfg.DELIVERY_ROUNDING
     )
     out = deliver.back_out_allocation(out, cfg.ALLOCATION, MEASURES)
-    return out.select(*DELIVERED, *[f"{m}_raw" for m in MEASURES])
+    out = out.select(*DELIVERED, *[f"{m}_raw" for m in MEASURES])
+    return run.stage(out, "delivered", MEASURES, {"quarter": [periods.report_quarter]}) if run else out
 
 
 def delivery_export(delivered: DataFrame) -> DataFrame:

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 from panelcast.functions import semantics as sem
 from panelcast.operators import conform as op
 from panelcast.queries import bindings as b
-from panelcast.queries.registry import query, total0, with_
+from panelcast.queries.registry import in_, query, total0, with_
+from panelcast.sources import rejects, schemas
+from panelcast.sources.runs import OTHER, Run
+from panelcast.sources.stages import stage
 
 PANEL_KEYS = [
     "year", "date", "quarter", "province", "city", "district", "site", "market", "atc3",
@@ -313,3 +316,82 @@ def panel_from_feed(spark, sf):
     )
     rows = op.recode_ids(rows, prefix={"packid": _PREFIXES})
     return op.canonical_panel(rows, PANEL_KEYS)
+
+
+_MARKETS = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL"]
+_PANEL_TOTALS = {"year": [str(y) for y in range(1997, 2001)], "market": _MARKETS}
+
+
+def _totals_sql(source: str, stage_name: str) -> str:
+    cells = [("", "", "true")]
+    for column, listed in _PANEL_TOTALS.items():
+        cells += [(column, v, f"{column} = '{v}'") for v in listed]
+        cells.append((column, OTHER, f"coalesce({column} NOT IN {in_(listed)}, true)"))
+    return " UNION ALL ".join(
+        f"SELECT '{stage_name}' AS stage, '{c}' AS \"column\", '{v}' AS value, count_if({t}) AS n_rows, "
+        f"'{m}' AS measure, {total0(f'CASE WHEN {t} THEN {m} END')} AS total FROM {source}"
+        for c, v, t in cells
+        for m in ("units", "sales")
+    )
+
+
+@query(
+    with_(
+        b.PANEL,
+        f"""canonical AS (
+             SELECT {_KEYS}, {total0('units')} AS units, {total0('sales')} AS sales FROM panel GROUP BY {_KEYS})""",
+        _totals_sql("panel", "rows") + " UNION ALL " + _totals_sql("canonical", "panel"),
+    )
+)
+def stage_totals(spark, sf):
+    """Control totals that were counted while two stages were written."""
+    with Run(spark) as run:
+        rows = run.stage(b.panel(spark, sf), "rows", ["units", "sales"], _PANEL_TOTALS)
+        run.stage(op.canonical_panel(rows, PANEL_KEYS), "panel", ["units", "sales"], _PANEL_TOTALS)
+        return stage(run.totals(), "totals")
+
+
+_TEXT_FEED = """text_feed AS (
+  SELECT nullif(Hospital_Name, 'Supplier#000000002') AS hospital, Quarter AS quarter,
+         CASE WHEN packcode % 11 = 0 THEN 'n/a' WHEN packcode % 13 = 0 THEN ''
+              ELSE CAST(CAST(Value AS DECIMAL(18, 2)) AS VARCHAR) END AS value_text,
+         CASE WHEN packcode % 17 = 0 THEN '-1.5' WHEN packcode % 19 = 0 THEN '1,5'
+              ELSE CAST(CAST(Price AS DECIMAL(18, 4)) AS VARCHAR) END AS price_text
+  FROM feed),
+read_ AS (
+  SELECT *, TRY_CAST(value_text AS DOUBLE) AS sales, TRY_CAST(price_text AS DOUBLE) AS price FROM text_feed)"""
+
+
+@query(
+    with_(
+        b.FEED, _TEXT_FEED,
+        """judged AS (
+             SELECT sales,
+                    CASE WHEN price IS NULL AND trim(price_text) <> '' THEN 'price unreadable'
+                         WHEN sales IS NULL AND trim(value_text) <> '' THEN 'sales unreadable'
+                         WHEN hospital IS NULL THEN 'hospital missing'
+                         WHEN price IS NULL THEN 'price missing'
+                         WHEN sales IS NULL THEN 'sales missing'
+                         WHEN price <= 0 THEN 'price not positive'
+                         WHEN sales <= 0 THEN 'sales not positive'
+                         WHEN hospital = 'Supplier#000000003' THEN 'hospital not available'
+                         WHEN quarter NOT LIKE '1999%' AND quarter NOT LIKE '2000%' THEN 'other quarter' END AS reason
+             FROM read_)""",
+        f"SELECT reason, count(*) AS n_rows, {total0('sales')} AS sales FROM judged GROUP BY reason",
+    )
+)
+def feed_rejects(spark, sf):
+    """Every row of a feed delivered as text: kept (reason NULL) or rejected, by its first reason."""
+    code, text = F.col("packcode"), F.col("Value").cast("decimal(18,2)").cast("string")
+    price = F.col("Price").cast("decimal(18,4)").cast("string")
+    raw = b.feed(spark, sf).select(
+        F.nullif("Hospital_Name", F.lit("Supplier#000000002")).alias("Hospital_Name"),
+        "Quarter",
+        F.when(code % 17 == 0, "-1.5").when(code % 19 == 0, "1,5").otherwise(price).alias("Price"),
+        F.when(code % 11 == 0, "n/a").when(code % 13 == 0, "").otherwise(text).alias("Value"),
+    )
+    columns = {c: k for c, k in schemas.PROVINCIAL_FEED.items() if c in raw.columns}
+    rows = rejects.canonical_with_reasons(raw, columns)
+    quarters = [f"{y}Q{q}" for y in b.YEARS for q in range(1, 5)]
+    rules = rejects.gate_rules(["hospital"], ["price", "sales"], {"hospital": "Supplier#000000003"}, quarters)
+    return rejects.balance(rejects.with_rules(rows, rules), "sales")

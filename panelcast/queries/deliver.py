@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from panelcast.functions import semantics as sem
@@ -9,7 +11,8 @@ from panelcast.operators import deliver as op
 from panelcast.queries import bindings as b
 from panelcast.queries.channel import pack_details
 from panelcast.queries.registry import half_even, in_, query, total0, values, with_
-from panelcast.sources.stages import stage
+from panelcast.sources import tables
+from panelcast.sources.stages import stage, stage_folder
 
 KEYS = ["province", "city", "year", "quarter", "market", "atc3", "molecule", "packid"]
 CURRENT = ["2000Q2"]
@@ -632,6 +635,70 @@ def ordered_delivery(spark, sf):
     return op.ordered_delivery(restated(spark, sf), HISTORY_COLUMNS, ORDER)
 
 
+@query(
+    with_(
+        *_BASE, _FACTORS, _OVERRIDE, _RESTATED,
+        f"""SELECT {_list(HISTORY_COLUMNS)},
+                   row_number() OVER (ORDER BY {', '.join(f'{c} NULLS LAST' for c in [*ORDER, 'product', 'corp_desc'])}) AS position
+            FROM restated""",
+    )
+)
+def delivered_files(spark, sf):
+    """The delivered order after writing and reading back: the place of each row in the files."""
+    path = f"{stage_folder(spark).rstrip('/')}/ordered-{uuid.uuid4().hex}"
+    tables.write_ordered(restated(spark, sf).select(*HISTORY_COLUMNS), path, [*ORDER, "product", "corp_desc"])
+    return tables.read_ordered(spark, path)
+
+
+#: Two quarters are restated at once, one of them with other packs' sales raised and some rows gone.
+TWO_PERIODS = ["2000Q1", "2000Q2"]
+_CHANGES = f"""fresh AS (
+  SELECT * REPLACE (CASE WHEN market = 'LARGE' THEN sales + 1 ELSE sales END AS sales)
+  FROM history WHERE quarter IN {in_(TWO_PERIODS)} AND NOT (quarter = '2000Q1' AND market = 'SMALL')),
+old_ AS (
+  SELECT * FROM history WHERE NOT (quarter = '2000Q2' AND market = 'MEDIUM')),
+new_ AS (
+  SELECT * FROM old_ WHERE quarter NOT IN {in_(TWO_PERIODS)} UNION ALL SELECT * FROM fresh)"""
+
+
+def two_versions(spark, sf):
+    """History, and the same with two quarters restated."""
+    rows = stage(history(spark, sf), "history")
+    old = rows.filter((F.col("quarter") != "2000Q2") | (F.col("market") != "MEDIUM"))
+    new = rows.filter(F.col("quarter").isin(TWO_PERIODS) & ((F.col("quarter") != "2000Q1") | (F.col("market") != "SMALL")))
+    new = new.withColumn("sales", F.when(F.col("market") == "LARGE", F.col("sales") + 1).otherwise(F.col("sales")))
+    nothing = rows.filter("false")
+    every = F.lit(True)
+    return old, op.restate_history(old, new, nothing, TWO_PERIODS, F.lit(False), [], every)
+
+
+@query(
+    with_(
+        *_BASE, _CHANGES,
+        f"""SELECT coalesce(n.quarter, o.quarter) AS quarter, coalesce(n.market, o.market) AS market,
+                   CASE WHEN o.packid IS NULL THEN 'inserted' WHEN n.packid IS NULL THEN 'removed' ELSE 'changed' END AS change,
+                   coalesce(n.packid, o.packid) AS packid, coalesce(n.city, o.city) AS city,
+                   coalesce(n.sales, o.sales) AS sales, CASE WHEN n.packid IS NOT NULL THEN o.sales END AS sales_before
+            FROM old_ o FULL JOIN new_ n ON {' AND '.join(f'o.{k} IS NOT DISTINCT FROM n.{k}' for k in DELIVERY_KEYS)}
+            WHERE o.packid IS NULL OR n.packid IS NULL OR o.sales IS DISTINCT FROM n.sales
+               OR o.units IS DISTINCT FROM n.units""",
+    )
+)
+def restated_changes(spark, sf):
+    """Two restated quarters as inserted, changed and removed rows."""
+    old, new = two_versions(spark, sf)
+    changes = op.change_set(old, new, DELIVERY_KEYS)
+    return changes.select("quarter", "market", "change", "packid", "city", "sales", F.col("before.sales").alias("sales_before"))
+
+
+@query(with_(*_BASE, _CHANGES, f"SELECT {_list(HISTORY_COLUMNS)} FROM new_"))
+def changes_applied(spark, sf):
+    """History with the change set of two restated quarters applied."""
+    old, new = two_versions(spark, sf)
+    changes = stage(op.change_set(old, new, DELIVERY_KEYS), "changes")
+    return op.apply_changes(old, changes, DELIVERY_KEYS).select(*HISTORY_COLUMNS)
+
+
 @query(
     with_(
         b.PANEL,
