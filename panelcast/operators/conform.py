@@ -203,4 +203,4 @@ def canonical_panel(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def qc_totals(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
     """Control totals, sorted; run after each stage."""
     totals = df.groupBy(*keys).agg(*[sem.sum0(m).alias(m) for m in measures])
-    return totals.orderBy(*[F.col(k).asc_nulls_last() for k in keys])
+    return totals.orderBy(*[F.col(k).asc_nulls_last() for k in keys]) if keys else totals

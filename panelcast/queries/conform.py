@@ -129,17 +129,16 @@ def conform_pack_reference(spark, sf):
 @query(
     with_(
         b.PACKS,
-        """defined AS (SELECT DISTINCT molecule, CASE WHEN market <> 'PROMO' THEN market END AS market
-                       FROM packs WHERE pack_size > 45)""",
+        """defined AS (SELECT DISTINCT molecule, CASE WHEN market <> 'PROMO' AND pack_size > 45 THEN market END AS market
+                       FROM packs)""",
         """SELECT p.molecule, d.market, p.packid, p.atc3, substr(p.atc3, 1, 3) AS atc2
            FROM defined d JOIN packs p ON d.molecule = p.molecule WHERE d.market IS NOT NULL""",
     )
 )
 def market_definition(spark, sf):
     packs = b.packs(spark, sf)
-    markets = packs.filter(F.col("pack_size") > 45).select(
-        "molecule", F.when(F.col("market") != "PROMO", F.col("market")).alias("market")
-    )
+    known = (F.col("market") != "PROMO") & (F.col("pack_size") > 45)
+    markets = packs.select("molecule", F.when(known, F.col("market")).alias("market"))
     reference = op.conform_pack_reference(packs, "pack_key", "atc4", "molecule")
     return op.market_definition(markets, reference)
 

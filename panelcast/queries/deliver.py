@@ -30,8 +30,7 @@ def _list(keys):
 
 
 _FLAGS = """flags AS (
-  SELECT site, CASE WHEN size > 4000 THEN 1 WHEN size > 2500 THEN 0 END AS zs_flag FROM sites
-  WHERE size > 500)"""
+  SELECT site, CASE WHEN size > 4000 THEN 1 WHEN size > 2500 THEN 0 END AS zs_flag FROM sites)"""
 
 
 @query(
@@ -44,7 +43,7 @@ _FLAGS = """flags AS (
 )
 def flagged_site_filter(spark, sf):
     size = F.col("size")
-    flags = b.sites(spark, sf).filter(size > 500).select(
+    flags = b.sites(spark, sf).select(
         "site", F.when(size > 4000, 1).when(size > 2500, 0).alias("zs_flag")
     )
     rows = b.panel(spark, sf).select("site", "city", "packid", "date", "quarter", "sales")
@@ -56,12 +55,14 @@ def flagged_site_filter(spark, sf):
 _CORP_PACK = """corp_pack AS (
   SELECT DISTINCT packid, pack_desc, pack_size,
          CASE c.corp_desc WHEN 'NATION_3' THEN 'NATION_THREE' ELSE c.corp_desc END AS corp_desc
-  FROM packs p LEFT JOIN (SELECT * FROM corporations WHERE corp_id <> 8) c USING (corp_id))"""
+  FROM packs p LEFT JOIN (SELECT corp_id, CASE WHEN corp_id <> 8 THEN corp_desc END AS corp_desc
+                          FROM corporations) c USING (corp_id))"""
 
 
 @query(with_(b.PACKS, b.CORPORATIONS, _CORP_PACK, "SELECT * FROM corp_pack"))
 def corp_pack_reference(spark, sf):
-    corporations = b.corporations(spark, sf).filter(F.col("corp_id") != 8)
+    named = F.when(F.col("corp_id") != 8, F.col("corp_desc"))
+    corporations = b.corporations(spark, sf).withColumn("corp_desc", named)
     return op.corp_pack_reference(
         b.packs(spark, sf), corporations, {"NATION_3": "NATION_THREE"}
     )
@@ -321,13 +322,13 @@ def reference_split(spark, sf):
         """SELECT corp_desc,
                   CASE WHEN min(maker_type) IN ('Imported', 'Joint Venture') THEN 'MNC'
                        ELSE coalesce(min(maker_type), 'Local') END AS maker_type
-           FROM nature WHERE corp_desc <> 'NATION_2' OR maker_type IS NULL GROUP BY corp_desc""",
+           FROM (SELECT corp_desc, CASE WHEN corp_desc <> 'NATION_2' THEN maker_type END AS maker_type FROM nature)
+           GROUP BY corp_desc""",
     )
 )
 def maker_type_bucket(spark, sf):
-    makers = nature(spark, sf).filter(
-        (F.col("corp_desc") != "NATION_2") | F.col("maker_type").isNull()
-    )
+    known = F.when(F.col("corp_desc") != "NATION_2", F.col("maker_type"))
+    makers = nature(spark, sf).withColumn("maker_type", known)
     return op.maker_type_bucket(
         makers, {"Imported": "MNC", "Joint Venture": "MNC"}, "Local"
     )
@@ -337,8 +338,9 @@ def maker_type_bucket(spark, sf):
     with_(
         b.PACKS, b.CORPORATIONS, _BIDS, _NATURE,
         """molecules AS (SELECT molecule, min(molecule_name) AS molecule_name FROM nature GROUP BY 1),
-           flagged AS (SELECT DISTINCT molecule, name1 FROM bids
-                       WHERE name1 = 'L1' AND molecule < 'Brand#2')""",
+           flagged AS (SELECT DISTINCT molecule, name1 FROM
+                         (SELECT molecule, CASE WHEN molecule < 'Brand#2' THEN name1 END AS name1 FROM bids)
+                       WHERE name1 = 'L1')""",
         """SELECT m.molecule, CASE WHEN m.molecule_name IN ('name blue bolt', 'name blue gear') THEN 'L1'
                                    ELSE f.name1 END AS name1
            FROM molecules m LEFT JOIN flagged f USING (molecule)""",
@@ -346,7 +348,8 @@ def maker_type_bucket(spark, sf):
 )
 def molecule_flag(spark, sf):
     molecules = nature(spark, sf).groupBy("molecule").agg(F.min("molecule_name").alias("molecule_name"))
-    some = bids(spark, sf).filter(F.col("molecule") < "Brand#2")
+    labelled = F.when(F.col("molecule") < "Brand#2", F.col("name1"))
+    some = bids(spark, sf).withColumn("name1", labelled)
     return op.molecule_flag(some, molecules, "L1", ["name blue bolt", "name blue gear"])
 
 
@@ -405,9 +408,9 @@ def origin_classification(spark, sf):
     with_(
         b.PANEL,
         """profile AS (SELECT packid, substr(packid, 1, 5) AS product_code,
-                              CASE WHEN pack_size < 25 THEN atc4 END AS atc4,
-                              CASE WHEN pack_size > 15 THEN item END AS product_cn
-                       FROM packs WHERE market <> 'SMALL'),
+                              CASE WHEN market <> 'SMALL' AND pack_size < 25 THEN atc4 END AS atc4,
+                              CASE WHEN market <> 'SMALL' AND pack_size > 15 THEN item END AS product_cn
+                       FROM packs),
            by_product AS (SELECT product_code, min(atc4) AS atc4, min(product_cn) AS product_cn
                           FROM profile GROUP BY 1)""",
         f"""totals AS (SELECT packid, quarter, {total0('sales')} AS sales FROM panel GROUP BY ALL)""",
@@ -418,11 +421,11 @@ def origin_classification(spark, sf):
     )
 )
 def two_level_code_fallback(spark, sf):
-    size = F.col("pack_size")
-    profile = b.packs(spark, sf).filter(F.col("market") != "SMALL").select(
+    size, known = F.col("pack_size"), F.col("market") != "SMALL"
+    profile = b.packs(spark, sf).select(
         "packid",
-        F.when(size < 25, F.col("atc4")).alias("atc4"),
-        F.when(size > 15, F.col("item")).alias("product_cn"),
+        F.when(known & (size < 25), F.col("atc4")).alias("atc4"),
+        F.when(known & (size > 15), F.col("item")).alias("product_cn"),
     )
     rows = b.panel(spark, sf).groupBy("packid", "quarter").agg(sem.sum0("sales").alias("sales"))
     return op.two_level_code_fallback(rows, profile, ["atc4", "product_cn"])

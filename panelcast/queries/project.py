@@ -65,9 +65,8 @@ _SLOPES = f"""slopes AS (
   SELECT {_list(GROUP)}, {total0('panel_sales')} / nullif({total0('est')}, 0) AS slope, 0.0 AS intercept
   FROM zero_filled GROUP BY {_list(GROUP)})"""
 _FACTORS = """factors AS (
-  SELECT market, seg, 0.5 + seg * 0.25 AS factor
-  FROM (SELECT DISTINCT market FROM packs) CROSS JOIN (VALUES (1), (2), (3)) s(seg)
-  WHERE NOT (market = 'SMALL' AND seg = 3))"""
+  SELECT market, seg, CASE WHEN NOT (market = 'SMALL' AND seg = 3) THEN 0.5 + seg * 0.25 END AS factor
+  FROM (SELECT DISTINCT market FROM packs) CROSS JOIN (VALUES (1), (2), (3)) s(seg))"""
 _SCORED = f"""predicted AS (
   SELECT u.*, coalesce(o.panel_sales, 0.0) AS panel_sales,
          CASE WHEN u.est * slope + intercept < 0 THEN 0 ELSE u.est * slope + intercept END AS pred,
@@ -136,8 +135,8 @@ def observed(spark, sf):
 def factors(spark, sf):
     rows = b.packs(spark, sf).select("market").distinct()
     rows = rows.withColumn("seg", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))))
-    rows = rows.filter(~((F.col("market") == "SMALL") & (F.col("seg") == 3)))
-    return rows.withColumn("factor", F.lit(0.5) + F.col("seg") * 0.25)
+    known = ~((F.col("market") == "SMALL") & (F.col("seg") == 3))
+    return rows.withColumn("factor", F.when(known, F.lit(0.5) + F.col("seg") * 0.25))
 
 
 class Projection:

@@ -254,3 +254,24 @@ def test_delivery(inputs, adjusted, transferred, rows, spark, tmp_path):
     totals = conform.qc_totals(out, ["city", "market", "quarter"], ["sales"])
     assert math.isclose(sum(r.sales for r in totals.collect()), sum(r.sales for r in got), abs_tol=1e-6)
     assert cfg.DELIVERY_ROUNDING["sales"] == 2
+
+
+def test_jobs_in_a_run_count_their_totals_and_leave_nothing(spark, inputs, panel, transferred, tmp_path):
+    from panelcast.sources.runs import OTHER, Run
+
+    with Run(spark, "round", str(tmp_path)) as run:
+        again = jobs.panel_job(inputs["panel"], PERIODS, run)
+        imputed = jobs.impute_job(again, PERIODS, run=run)
+        moved = jobs.transfer_job(inputs["history"], again, inputs["external"], PERIODS, run=run)
+        for name, df, measures in (("panel", again, ["units", "sales"]), ("imputed", imputed, ["sales"]), ("transferred", moved, ["units", "sales"])):
+            counted = {(r.column, r.value, r.measure): r.total for r in run.totals(name).collect()}
+            for r in conform.qc_totals(df, ["quarter"], measures).collect():
+                cell = ("quarter", r.quarter) if ("quarter", r.quarter, measures[0]) in counted else ("quarter", OTHER)
+                assert all(counted[*cell, m] == r[m] for m in measures) or cell[1] == OTHER
+            whole = conform.qc_totals(df, [], measures).first()
+            assert all(counted["", "", m] == whole[m] for m in measures)
+        assert {"panel_rows", "panel", "impute_scope", "imputed", "matrix", "transferred"} <= set(run.stages())
+        assert moved.count() == transferred.count()
+        # A second call in the same run reads what is there.
+        assert jobs.panel_job(inputs["panel"], PERIODS, run).inputFiles() == again.inputFiles()
+    assert not list(tmp_path.iterdir())
