@@ -6,20 +6,25 @@ within their prefixes of n - least overlap + k shingles, so that with a longer
 prefix a pair must match more often to be a candidate. Each set takes the k for
 which the matches it has to read and the candidates it has to verify are
 estimated to cost least, given how many sets hold each shingle of its prefix; a
-pair must match as often as the smaller k of the two.
+pair must match as often as the smaller k of the two, within the shorter
+prefixes that suffice for the two sizes.
 
 Equal sets are one class before the join. Pairs are proposed in two steps: first
-each class with the member of its shingles' holders that it shares most with,
-then, once these links have made components, only pairs of different components.
-So a family of copies of any size proposes about one pair per member, and no
-link between components is missed. All candidates are verified on whole sets.
+each class with that holder of its shingles, out of another component, that it
+shares most with; the holder offered is the one with most matches, mostly the
+text a family was copied from. Once these links have made components, only pairs
+of different components. So a family of copies of any size proposes about one
+pair per member, and no link between components is missed. All candidates are
+verified on whole sets.
 
 Which shingles count as common affects the cost only, never the result: they are
 the `common` most frequent of those that occur twice or more within a batch.
 
 Defined cases: a text with fewer words than a shingle has its whole sequence as
 one; null, empty and blank texts have an empty set and no link; rows with equal
-sets are linked, repeated rows included; the component of a class is its
+sets are linked, repeated rows included; sets are told apart by 64 bits of a
+digest, rows by 64 bits of a hash of id and text, and two shingles of a set that
+agree in 48 bits count as one match; the component of a class is its
 smallest non-null id (null if it has none); an empty table gives an empty table;
 extra columns aren't returned.
 """
@@ -44,7 +49,8 @@ from panelcast.llm.common import components, stage, table
 class Join:
     """Production parameters. `common` bounds the list of common shingles that every task gets (8 bytes each).
 
-    Lists of texts to read again are broadcast up to `broadcast_rows` (24 bytes each).
+    Lists of texts to read again are broadcast up to `broadcast_rows` (32 bytes each). `attempts` rounds link
+    components before all that is left is compared; their number changes the cost only.
     """
 
     width: int = 5
@@ -54,6 +60,8 @@ class Join:
     verify_cost: int = 8
     range_docs: int = 4_000
     broadcast_rows: int = 500_000
+    members_at_once: int = 500
+    attempts: int = 2
 
 
 def shingle_sets(batch: pa.RecordBatch, index: int, width: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -157,13 +165,14 @@ def repeated_shingles(rows: DataFrame, join: Join) -> DataFrame:
 
 
 def matches(rows: DataFrame, join: Join) -> DataFrame:
-    """Rows (shingle, cls, n, k) of prefix shingles that several classes hold, with each class's chosen k."""
+    """Rows (shingle, cls, n, k, pos, central) of prefix shingles that several classes hold, with each class's chosen k,
+    the shingle's place in the order and the matches that the class has with others."""
     least = f"CAST(ceil({join.percent} * n / 100) AS int)"
     enters = F.expr(f"CAST(greatest(1, pos + 2 - (n - {least} + 1)) AS tinyint)")
-    tokens = rows.select("cls", "n", F.posexplode("prefix").alias("pos", "shingle")).select("shingle", "cls", enters.alias("enters"))
+    tokens = rows.select("cls", "n", F.posexplode("prefix").alias("pos", "shingle")).select("shingle", "cls", "pos", enters.alias("enters"))
     again = stage(repeated_shingles(rows, join), "join-repeated")
     once = stage(
-        tokens.join(again, "shingle").groupBy("shingle", "cls").agg(F.min("enters").alias("enters")), "join-postings"
+        tokens.join(again, "shingle").groupBy("shingle", "cls").agg(F.min("enters").alias("enters"), F.min("pos").alias("pos")), "join-postings"
     )
     held = once.groupBy("shingle").agg(F.count("*").alias("df")).filter("df > 1")
     sizes = rows.groupBy("cls").agg(F.first("n").alias("n"))
@@ -176,22 +185,39 @@ def matches(rows: DataFrame, join: Join) -> DataFrame:
     chosen = (
         shared.groupBy("cls", "n")
         .agg(*[F.expr(c) for c in costs])
-        .select("cls", F.expr(f"array_min(filter(array({', '.join(cost)}), x -> x.c IS NOT NULL)).k").alias("k"))
+        .select("cls", "s1", F.expr(f"array_min(filter(array({', '.join(cost)}), x -> x.c IS NOT NULL)).k").alias("k"))
     )
-    return stage(shared.join(chosen, "cls").filter("enters <= k").select("shingle", "cls", "n", "k"), "join-matches")
+    rows = shared.join(chosen, "cls").filter("enters <= k")
+    return stage(rows.select("shingle", "cls", "n", "k", "pos", F.col("s1").alias("central")), "join-matches")
 
 
-def _alike(join: Join) -> str:
-    return f"100 * least(n, n2) >= {join.percent} * greatest(n, n2)"
+def _near(join: Join) -> str:
+    """A match that counts: the sizes allow the pair, and the shingle lies in the prefixes that suffice for the two sizes.
 
+    Similar sets share at least o of their shingles, by their sizes. At most n - o of a set's shingles then aren't
+    shared, so the first k shared ones lie before place n - o + k in either set.
+    """
+    overlap = f"(({join.percent} * (n + n2) + {join.percent + 99}) DIV {100 + join.percent})"
+    place = [f"{pos} < {n} - {overlap} + least(k, k2)" for pos, n in (("pos", "n"), ("pos2", "n2"))]
+    return f"100 * least(n, n2) >= {join.percent} * greatest(n, n2) AND {' AND '.join(place)}"
+
+
+def star_pairs(found: DataFrame, join: Join, attempt: int) -> DataFrame:
+    """For each class, the pair with that holder of its shingles, out of another component, that it matches most often.
 
-def star_pairs(found: DataFrame, join: Join) -> DataFrame:
-    """For each class, the pair with the smallest holder of its shingles that it matches most often."""
-    first = found.groupBy("shingle").agg(F.min(F.struct("cls", "n", "k")).alias("h"), F.count("*").alias("holders"))
-    first = first.filter("holders > 1").select("shingle", F.col("h.cls").alias("cls2"), F.col("h.n").alias("n2"), F.col("h.k").alias("k2"))
+    Each shingle offers the holder that comes first in an order, and the first one outside of its component. The
+    first attempt goes by how many matches a class has, as the text that a family was copied from has most; later
+    ones go by hashes of components and classes, which change with the attempt.
+    """
+    by = F.struct(F.lit(0), "central", "cls") if not attempt else F.struct(F.xxhash64("component", F.lit(attempt)), F.xxhash64("cls", F.lit(attempt)), "cls")
+    holder = F.struct(by.alias("by"), "cls", "n", "k", "pos", "component")
+    mixed = found.groupBy("shingle").agg(F.max(holder).alias("one"), F.min("component").alias("a"), F.max("component").alias("b"))
+    mixed = found.join(mixed.filter("a <> b").select("shingle", "one"), "shingle").withColumn("same", F.expr("component = one.component"))
+    others = mixed.filter("NOT same").groupBy("shingle").agg(F.max(holder).alias("two"))
+    offered = mixed.join(others, "shingle").withColumn("h", F.when(F.col("same"), F.col("two")).otherwise(F.col("one")))
+    offered = offered.select("cls", "n", "k", "pos", *[F.col(f"h.{c}").alias(f"{c}2") for c in ("cls", "n", "k", "pos")])
     return (
-        found.join(first, "shingle")
-        .filter(f"cls <> cls2 AND {_alike(join)}")
+        offered.filter(_near(join))
         .groupBy("cls", "cls2", "n", "n2", "k", "k2")
         .agg(F.count("*").alias("m"))
         .filter("m >= least(k, k2)")
@@ -211,10 +237,10 @@ def cross_pairs(found: DataFrame, join: Join) -> DataFrame:
     )
     left = found.join(mixed, "shingle")
     right = left.select(
-        "shingle", *[F.col(c).alias(f"{c}2") for c in ("cls", "n", "k", "component")]
+        "shingle", *[F.col(c).alias(f"{c}2") for c in ("cls", "n", "k", "pos", "component")]
     )
     return (
-        left.join(right, (left.shingle == right.shingle) & F.expr(f"cls < cls2 AND component <> component2 AND {_alike(join)}"))
+        left.join(right, (left.shingle == right.shingle) & F.expr(f"cls < cls2 AND component <> component2 AND {_near(join)}"))
         .groupBy("cls", "cls2", "n", "n2", "k", "k2")
         .agg(F.count("*").alias("m"))
         .filter("m >= least(k, k2)")
@@ -226,29 +252,42 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, join: Join)
     """The pairs (cls, cls2) whose whole sets are similar enough.
 
     The texts of both ends are read once more and their sets sent to the second
-    one's group, where each member is compared with it. The list of what is read
-    is broadcast if it is short, and joined by shuffling else.
+    one's group, where each member is compared with it. A group with many members
+    is dealt to several places, each with the second one's set. The list of what
+    is read is broadcast if it is short, and joined by shuffling else.
     """
     pairs = stage(pairs.select("cls", "cls2").distinct(), "join-pairs")
-    ends = pairs.union(pairs.select("cls2", "cls2").distinct()).toDF("cls", "group")
-    ends = stage(ends.join(classes.select("cls", "key"), "cls"), "join-ends")
+    places = F.ceil(F.count("*") / join.members_at_once).cast("long")
+    sizes = pairs.groupBy("cls2").agg(places.alias("places"))
+    firsts = pairs.join(sizes, "cls2").select("cls", F.col("cls2").alias("group"), F.expr("pmod(xxhash64(cls), places)").alias("place"))
+    seconds = sizes.select(F.col("cls2").alias("cls"), F.col("cls2").alias("group"), F.expr("explode(sequence(0L, places - 1))").alias("place"))
+    ends = stage(firsts.union(seconds).join(classes.select("cls", "key"), "cls"), "join-ends")
     if ends.count() <= join.broadcast_rows:
         ends = F.broadcast(ends)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [s.view(np.int64) for _, s in shingle_sets(batch, 2, join.width)]
-            columns = [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["group", "cls", "shingles"])
-
-    sets = docs.select("key", "text").join(ends, "key").select("group", "cls", "text")
-    sets = sets.mapInArrow(run, "group long, cls long, shingles array<long>").repartition("group")
-    second = sets.filter("cls = group").select(F.col("group").alias("cls2"), F.col("shingles").alias("shingles2"))
-    both = sets.filter("cls <> group").join(second, F.col("group") == F.col("cls2"))
+            found = [s.view(np.int64) for _, s in shingle_sets(batch, 3, join.width)]
+            columns = [batch.column(0), batch.column(1), batch.column(2), pa.array(found, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["group", "place", "cls", "shingles"])
+
+    sets = docs.select("key", "text").join(ends, "key").select("group", "place", "cls", "text")
+    sets = sets.mapInArrow(run, "group long, place long, cls long, shingles array<long>").repartition("group", "place")
+    second = sets.filter("cls = group").select(F.col("group").alias("cls2"), F.col("place").alias("place2"), F.col("shingles").alias("shingles2"))
+    both = sets.filter("cls <> group").join(second, F.expr("group = cls2 AND place = place2"))
     both = both.withColumn("o", F.expr("size(array_intersect(shingles, shingles2))"))
     return both.filter(f"100 * o >= {join.percent} * (size(shingles) + size(shingles2) - o)").select("cls", "cls2").distinct()
 
 
+def _once(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """docs with one row per key: where keys repeat, the copies are merged before their shuffle."""
+    again = stage(rows.groupBy("key").count().filter("count > 1").select("key"), "join-repeated-rows")
+    if again.isEmpty():
+        return docs
+    merged = docs.join(again, "key", "left_semi").groupBy("key").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"))
+    return stage(docs.join(again, "key", "left_anti").select("key", "doc_id", "text").unionByName(merged), "join-single-rows")
+
+
 def near_duplicates(docs: DataFrame, join: Join = Join()) -> DataFrame:
     """Rows (doc_id, n_shingles, component_id, class_id), one per row of docs."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("key", F.xxhash64("doc_id", "text"))
@@ -256,12 +295,18 @@ def near_duplicates(docs: DataFrame, join: Join = Join()) -> DataFrame:
     classes = stage(
         rows.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.min("key").alias("key")), "join-classes"
     )
-    found = matches(rows.filter("n > 0"), join)
-    links = stage(verified(docs, classes, star_pairs(found, join), join), "join-links")
-    parts = components(links, "cls", "cls2")
-    found = found.join(parts.withColumnRenamed("id", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-    more = verified(docs, classes, cross_pairs(stage(found, "join-parts"), join), join)
-    links = links.union(more)
+    docs = _once(docs, rows)
+    found = matches(rows.filter("n > 0"), join).withColumn("component", F.col("cls"))
+    links = None
+    for attempt in range(join.attempts):
+        new = stage(verified(docs, classes, star_pairs(found, join, attempt), join), "join-links")
+        links = new if links is None else links.union(new)
+        if new.isEmpty():
+            break
+        parts = components(links, "cls", "cls2").withColumnRenamed("id", "cls")
+        found = found.drop("component").join(parts, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+        found = stage(found, "join-parts")
+    links = links.union(verified(docs, classes, cross_pairs(found, join), join))
     parts = stage(components(links, "cls", "cls2").withColumnRenamed("id", "cls"), "join-components")
     named = classes.select("cls", "doc_id").join(parts, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
