@@ -159,25 +159,62 @@ def scan(docs: DataFrame, scope: Scope = Scope()) -> DataFrame:
     )
 
 
+def _may_link(matches: dict[str, str]) -> str:
+    """SQL test, per row, for weak candidates that can have complements: an identifier and a secret are there."""
+    some = {k: f"size({m}) > 0" for k, m in matches.items()}
+    by_role = {r: " OR ".join(some[k] for k in KINDS if ROLE[k] == r) for r in ("id", "secret")}
+    weak = " OR ".join(some[k] for k in WEAK)
+    return f"({weak}) AND ({by_role['id']}) AND ({by_role['secret']})"
+
+
+def _free(docs: DataFrame, name: str = "_w") -> str:
+    """A name that no column of docs begins with."""
+    while any(c.lower().startswith(name) for c in docs.columns):
+        name += "_"
+    return name
+
+
 def redact(docs: DataFrame, scope: Scope = Scope(), mark: str = "[secret]") -> DataFrame:
     """docs with each run of overlapping spans in the text replaced by a mark, and n_chars to match.
 
-    Texts without a span, null included, stay as they are. Only the rows that
-    hold a span take part in the join, against a written table of known size.
+    Texts without a span, null included, stay as they are. Only rows that hold
+    both an identifier and a secret, one of the parts weak, meet the result of
+    the sweep, by a join; all others are finished where they are read.
     """
-    spans = scan(docs, scope).filter("size(spans) > 0").groupBy("_key").agg(F.first("spans").alias("_spans"))
-    spans = stage(spans, "secret-spans")
-    df = docs.withColumn("_key", _row_key(docs)).join(spans, "_key", "left")
-    pieces = (
-        "aggregate(_spans, named_struct('at', 0, 'out', ''), (a, x) -> named_struct("
-        "'at', greatest(a.at, x.e), 'out', CASE WHEN x.s < a.at THEN a.out ELSE "
-        f"concat(a.out, substring(text, a.at + 1, x.s - a.at), '{mark}') END), "
-        "a -> concat(a.out, substring(text, a.at + 1)))"
-    )
-    df = df.withColumn("text", F.expr(f"CASE WHEN _spans IS NULL THEN text ELSE {pieces} END"))
-    if "n_chars" in docs.columns:
-        df = df.withColumn("n_chars", F.expr("CASE WHEN _spans IS NULL THEN n_chars ELSE char_length(text) END"))
-    return df.select(*docs.columns)
+    w = _free(docs)
+    number = {k: i for i, k in enumerate(KINDS)}
+    found = parts(docs).filter("size(_weak) > 0")
+    roles = {r: ", ".join(str(number[k]) for k in KINDS if ROLE[k] == r) for r in ("id", "secret")}
+    both = [f"exists(concat(_strong, _weak), x -> x.n IN ({listed}))" for listed in roles.values()]
+    linked = stage(link(stage(found.filter(" AND ".join(both)), "secret-parts"), scope), "secret-links")
+
+    df = docs.withColumn(f"{w}t", F.expr("coalesce(text, '')"))
+    matches = {kind: f"{w}m{kind}" for kind in KINDS}
+    for kind, (pattern, _, _) in {**STRONG, **WEAK}.items():
+        df = df.withColumn(matches[kind], F.expr(f"regexp_extract_all({w}t, {_quoted(pattern)}, 0)"))
+    df = df.withColumn(f"{w}link", F.expr(_may_link(matches))).drop(*[matches[k] for k in WEAK])
+    spans = ", ".join(spans_of(k, f"{w}t", matches[k]) for k in STRONG)
+    none = "CAST(array() AS array<struct<s:int,n:int,kind:string,e:int>>)"
+
+    def marked(rows: DataFrame, more: str) -> DataFrame:
+        ordered = f"transform(concat({spans}), x -> named_struct('s', x.s, 'n', x.n, 'kind', x.kind, 'e', x.e))"
+        rows = rows.withColumn(f"{w}s", F.expr(f"array_sort(concat({ordered}, {more}))"))
+        pieces = (
+            f"aggregate({w}s, named_struct('at', 0, 'out', ''), (a, x) -> named_struct("
+            "'at', greatest(a.at, x.e), 'out', CASE WHEN x.s < a.at THEN a.out ELSE "
+            f"concat(a.out, substring({w}t, a.at + 1, x.s - a.at), '{mark}') END), "
+            f"a -> concat(a.out, substring({w}t, a.at + 1)))"
+        )
+        rows = rows.withColumn("text", F.expr(f"CASE WHEN size({w}s) = 0 THEN text ELSE {pieces} END"))
+        if "n_chars" in docs.columns:
+            rows = rows.withColumn("n_chars", F.expr(f"CASE WHEN size({w}s) = 0 THEN n_chars ELSE char_length(text) END"))
+        return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+    plain = marked(df.filter(f"NOT {w}link"), none)
+    keyed = df.filter(f"{w}link").withColumn(f"{w}key", _row_key(docs))
+    linked = linked.select(F.col("_key").alias(f"{w}k"), F.col("_linked").alias(f"{w}l"))
+    joined_rows = keyed.join(linked, F.col(f"{w}key") == F.col(f"{w}k"), "left")
+    return plain.union(marked(joined_rows, f"coalesce({w}l, {none})"))
 
 
 def joined(spans: str) -> str:

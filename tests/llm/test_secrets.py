@@ -81,3 +81,22 @@ def test_redaction_nulls_repeats_and_extra_columns(spark):
     assert sorted((r["text"] or "", r["_spans_of"]) for r in out) == [("", 8), ("a [secret] é", 7), ("a [secret] é", 7), ("clean", 9)]
     assert {r["n_chars"] for r in out if r["_spans_of"] == 7} == {12}
     assert secrets.redact(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_redaction_equals_brute_force_and_keeps_clashing_columns(spark):
+    rng = random.Random(8)
+    texts = [" ".join(rng.choices(WORDS, k=rng.randint(1, 30))) for _ in range(150)] + [None, ""]
+    schema = SCHEMA + ", _spans int, _key int, _wt int, s int, `x.y` int"
+    df = spark.createDataFrame([(i, t, "en", "s", 0, 1, 2, 3, 4, 5) for i, t in enumerate(texts)], schema)
+    out = secrets.redact(df)
+    assert out.columns == df.columns
+    got = {r["doc_id"]: r for r in out.collect()}
+    for i, t in enumerate(texts):
+        want, at = [], 0
+        spans = brute(t)[1]
+        for s, _, _, e in spans:
+            if s >= at:
+                want += [(t or "")[at:s], "[secret]"]
+            at = max(at, e)
+        assert got[i]["text"] == ("".join(want) + t[at:] if spans else t)
+        assert tuple(got[i])[5:] == (1, 2, 3, 4, 5)
