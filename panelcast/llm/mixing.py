@@ -10,8 +10,9 @@ in an order of its own; the last pass ends at the budget, inside one block.
 
 Defined cases: a null source is a source of its own; null and empty texts have
 no tokens and go with their block; repeated rows stay repeated; sources without
-tokens get no weight and are left out; an empty table gives an empty mix; extra
-columns of `docs` stay, unless they have the names of the columns added here.
+tokens cost nothing and get one whole pass; an empty table gives an empty mix;
+extra columns stay in `remixed`, whatever their names, and in `mixed`, unless
+they have the names of the columns added there (n_tokens, epoch, block, position).
 """
 
 from __future__ import annotations
@@ -129,6 +130,10 @@ def schedule(sized: DataFrame, mix: Mix = Mix()) -> DataFrame:
     passes = passes.withColumn("shuffle_", F.xxhash64(F.lit(mix.seed), "_source", "epoch", "block"))
     before = "(PARTITION BY _source, epoch ORDER BY shuffle_, block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     passes = passes.withColumn("begin", F.expr(f"coalesce(sum(size) OVER {before}, 0)")).filter("begin < left_")
+    # Sources of empty texts only: no budget to spend, one pass.
+    empty = sizes.filter("coalesce(tokens, 0) = 0").selectExpr(
+        "_source", "0L AS block", "1L AS blocks", "0 AS epoch", "0D AS position", "CAST(NULL AS bigint) AS room"
+    )
     return stage(
         passes.select(
             "_source",
@@ -137,19 +142,22 @@ def schedule(sized: DataFrame, mix: Mix = Mix()) -> DataFrame:
             "epoch",
             ((F.col("tokens") * F.col("epoch") + F.col("begin")) / F.col("target")).alias("position"),
             F.expr("CASE WHEN begin + size > left_ THEN left_ - begin END").alias("room"),
-        ),
+        ).union(empty),
         "mix-schedule",
     )
 
 
-def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
-    """docs as often as the mix takes them, with n_tokens, epoch, block and position.
+ADDED = ["n_tokens", "epoch", "block", "position"]
+
+
+def _taken(docs: DataFrame, mix: Mix) -> DataFrame:
+    """Rows (_doc, a struct of all columns of docs, and the added columns).
 
     In the block in which the budget ends, documents are taken in the order of
     their hash while they fit whole.
     """
-    docs = docs.drop("n_tokens", "epoch", "block", "position", "room", "last_", "tokens")
-    rows = dealt(docs, mix)
+    held = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")
+    rows = dealt(docs.select(held, "doc_id", "text", "source"), mix).select("_doc", "_source", "n_tokens", "_order")
     sized = stage(rows.select("_source", "n_tokens", "_order"), "mix-sized")
     plan = schedule(sized, mix)
     blocks = stage(plan.select("_source", "blocks").distinct(), "mix-blocks")
@@ -174,10 +182,21 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     return (
         rows.join(taken, ["_source", "block"])
         .filter("_order <= last_")
-        .select(*docs.columns, "n_tokens", "epoch", "block", "position")
+        .select("_doc", *ADDED)
     )
 
 
+def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
+    """docs as often as the mix takes them, with n_tokens, epoch, block and position."""
+    kept = [F.col(f"_doc.`{c}`") for c in docs.columns if c.lower() not in ADDED]
+    return _taken(docs, mix).select(*kept, *ADDED)
+
+
+def remixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
+    """docs as often as the mix takes them, with their own columns only."""
+    return _taken(docs, mix).select("_doc.*")
+
+
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixed(docs).select("doc_id", "source", "n_tokens", "epoch", "block", "position")

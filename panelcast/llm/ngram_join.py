@@ -289,7 +289,11 @@ def _once(docs: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, join: Join = Join()) -> DataFrame:
-    """Rows (doc_id, n_shingles, component_id, class_id), one per row of docs."""
+    """Rows (doc_id, n_shingles, component_id, class_id, component, key), one per row of docs.
+
+    `component` names the group of linked rows also where none of them has an id (null for empty sets); `key` is
+    the row's hash of id and text.
+    """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("key", F.xxhash64("doc_id", "text"))
     rows = stage(measured(docs, common_shingles(docs, join), join), "join-rows")
     classes = stage(
@@ -310,15 +314,38 @@ def near_duplicates(docs: DataFrame, join: Join = Join()) -> DataFrame:
     parts = stage(components(links, "cls", "cls2").withColumnRenamed("id", "cls"), "join-components")
     named = classes.select("cls", "doc_id").join(parts, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = named.join(smallest, "component").select("cls", "component_id")
-    return rows.select("doc_id", "cls", "n").join(named, "cls", "left").select(
+    named = named.join(smallest, "component").select("cls", "component", "component_id")
+    return rows.select("doc_id", "key", "cls", "n").join(named, "cls", "left").select(
         "doc_id",
         F.col("n").cast("long").alias("n_shingles"),
         F.expr("CASE WHEN n = 0 THEN doc_id ELSE component_id END").alias("component_id"),
         F.expr("CASE WHEN n > 0 THEN cls END").alias("class_id"),
+        "component",
+        "key",
     )
 
 
+def one_of_copies(docs: DataFrame, join: Join = Join()) -> DataFrame:
+    """One row of each group of linked rows: the one with the smallest id, rows without id last.
+
+    Rows of one id and different texts, and rows without id, are told apart by
+    the hash of id and text, the smaller first; rows with an empty set link with
+    nothing and stay; equal rows become one. All columns stay, whatever their names.
+    """
+    found = stage(near_duplicates(docs, join), "join-found")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key"))
+    first = found.filter("component IS NOT NULL").groupBy("component").agg(best.alias("best")).select("best.key")
+    first = stage(first.union(found.filter("component IS NULL").select("key")).distinct(), "first-of-copies")
+    small = first.count() <= join.broadcast_rows
+    again = stage(found.groupBy("key").count().filter("count > 1").select("key").join(first, "key", "left_semi"), "repeated-rows")
+    key = F.xxhash64(docs["doc_id"].cast("long"), docs["text"])
+    kept = docs.join(F.broadcast(first) if small else first, key == first["key"], "left_semi")
+    if again.isEmpty():
+        return kept
+    same = key == again["key"]
+    return kept.join(again, same, "left_anti").union(kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"]))
+
+
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 

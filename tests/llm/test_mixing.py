@@ -67,7 +67,20 @@ def test_one_source_empty_table_nulls_and_repeats(spark):
     assert mixing.mixed(spark.createDataFrame([], SCHEMA)).count() == 0
     rows = [(1, "a b", "s"), (1, "a b", "s"), (None, None, "s"), (2, "", "t")]
     out = mixing.mixed(spark.createDataFrame([(*r, 5) for r in rows], SCHEMA + ", epoch int")).collect()
-    assert sorted((r["doc_id"] or 0, r["n_tokens"], r["epoch"]) for r in out) == [(0, 0, 0), (1, 2, 0), (1, 2, 0)]
+    assert sorted((r["doc_id"] or 0, r["n_tokens"], r["epoch"]) for r in out) == [(0, 0, 0), (1, 2, 0), (1, 2, 0), (2, 0, 0)]
+    empty = spark.createDataFrame([(1, "", "s"), (2, None, None)], SCHEMA)
+    assert {r["doc_id"] for r in mixing.mixed(empty).collect()} == {1, 2}
+
+
+def test_clashing_columns_stay(spark):
+    names = ["blocks", "_order", "_source", "last_", "n_tokens", "epoch", "block", "position", "room", "tokens", "_doc", "x.y"]
+    schema = SCHEMA + ", " + ", ".join(f"`{n}` int" for n in names)
+    rows = [(i, "a b c", "s" if i % 3 else "t", *range(len(names))) for i in range(12)]
+    df = spark.createDataFrame(rows, schema)
+    out = mixing.remixed(df, Mix(budget=40, block_tokens=6))
+    assert out.columns == df.columns and {tuple(r)[3:] for r in out.collect()} == {tuple(range(len(names)))}
+    extra = mixing.mixed(df, Mix(budget=40, block_tokens=6))
+    assert extra.columns == [*[c for c in df.columns if c not in mixing.ADDED], *mixing.ADDED]
 
 
 def test_same_seed_same_mix(spark):

@@ -97,3 +97,39 @@ def test_components_of_a_chain_and_a_star(spark):
     out = {r["id"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert out == {i: 0 for i in range(41)} | {i: 90 for i in [90, 100, *range(200, 220)]}
     assert np.array_equal(hashing.powers(5)[:3], hashing.powers(3))
+
+
+def test_one_row_of_each_group_stays_with_null_and_repeated_ids(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [
+        (None, base, 1), (None, base + " x", 2), (None, base + " y", 3),  # linked, none with an id
+        (5, "other " + base.replace("w", "v"), 4), (5, "quite different words in this text of mine", 5), (4, base.replace("w", "v"), 6),
+        (None, None, 7), (None, None, 8), (None, "", 9), (9, "", 10), (9, "", 11),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, key int")
+    out = ngram_join.one_of_copies(df).collect()
+    kept = sorted(r["key"] for r in out)
+    assert len([k for k in kept if k in (1, 2, 3)]) == 1 and [k for k in kept if k in (4, 5, 6)] == [5, 6]
+    assert len([k for k in kept if k in (7, 8)]) == 1 and 9 in kept and len([k for k in kept if k > 9]) == 1
+
+
+def test_repeated_rows_of_near_copies_are_compared_once(spark):
+    base = " ".join(f"w{i}" for i in range(80))
+    rows = [(1, base)] * 300 + [(2, base + " end")] * 300 + [(3, "some other text that is alone here")]
+    out = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(out) == 601 and {(r["doc_id"], r["component_id"]) for r in out} == {(1, 1), (2, 1), (3, 3)}
+
+
+def test_family_around_one_text_links_without_its_copies_linking(spark):
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(170)]
+    texts = [" ".join(base)]
+    for _ in range(120):
+        some = list(base)
+        for at in rng.sample(range(170), rng.choice([2, 4, 6])):
+            some[at] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(some))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for join in (ngram_join.Join(), ngram_join.Join(attempts=1, members_at_once=7)):
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.near_duplicates(df, join).collect()}
+        assert [got[i] for i in range(len(texts))] == brute(texts)
