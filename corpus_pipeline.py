@@ -2,55 +2,46 @@
 
 STAGES are (name, function); each function takes (spark, docs, sf_dir) and
 returns the rows that the next stage works on. All but the last keep the columns
-of documents. run() writes every stage to the shared folder and rereads it.
+of documents, whatever their names. run() writes every stage to the shared folder
+and rereads it. An empty table gives an empty table in every stage.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from panelcast.llm import ngram_join
 from panelcast.llm.common import stage, table
-from panelcast.llm.mixing import Mix, mixed
-from panelcast.llm.ngram_join import near_duplicates
+from panelcast.llm.mixing import Mix, remixed
 from panelcast.llm.packing import pack_documents
 from panelcast.llm.quality import kept_documents
 from panelcast.llm.secrets import redact
 
 #: Budget None gives every source one whole pass, so that the mix drops no document.
 MIX = Mix(budget=None, max_repeats=2.0)
-#: Ids (8 bytes each) that are broadcast to the documents; longer lists are joined by shuffling.
-BROADCAST_ROWS = 500_000
 
 
 def reject(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules."""
+    """Documents that pass the quality rules; null and empty texts don't, repeated rows fare alike."""
     return kept_documents(docs)
 
 
 def one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each component; one of its rows where rows repeat."""
-    first = near_duplicates(docs).filter("doc_id IS NULL OR doc_id = component_id").select("doc_id").distinct()
-    first = stage(first.select(F.col("doc_id").alias("first_id")), "first-of-copies")
-    if first.count() <= BROADCAST_ROWS:
-        first = F.broadcast(first)
-    kept = docs.join(first, F.expr("doc_id <=> first_id"), "left_semi")
-    repeated = stage(kept.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated-ids")
-    if repeated.isEmpty():
-        return kept
-    same = F.expr("doc_id <=> again")
-    again = repeated.withColumnRenamed("doc_id", "again")
-    return kept.join(again, same, "left_anti").union(kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"]))
+    """One row of each group of near copies: the smallest id, rows without id last; equal rows are one.
+
+    Rows that share an id, or have none, are told apart by their texts. Empty texts stay.
+    """
+    return ngram_join.one_of_copies(docs)
 
 
 def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their secrets replaced in the text."""
+    """Documents with their secrets replaced in the text and n_chars to match; null texts stay null."""
     return redact(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of their sources takes them."""
-    return mixed(docs, MIX).select(*docs.columns)
+    """Documents as often as the mix of their sources takes them; a null source is a source."""
+    return remixed(docs, MIX)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
