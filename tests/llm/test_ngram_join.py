@@ -130,6 +130,6 @@ def test_family_around_one_text_links_without_its_copies_linking(spark):
             some[at] = f"x{rng.randrange(10**6)}"
         texts.append(" ".join(some))
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    for join in (ngram_join.Join(), ngram_join.Join(attempts=1, members_at_once=7)):
+    for join in (ngram_join.Join(), ngram_join.Join(attempts=3, members_at_once=7)):
         got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.near_duplicates(df, join).collect()}
         assert [got[i] for i in range(len(texts))] == brute(texts)
