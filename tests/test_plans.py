@@ -74,4 +74,4 @@ def test_results_are_not_gathered_by_unpartitioned_windows(plans):
 
 
 def test_rank_correlation_builds_no_universe(plans):
-    assert "_place" in plans["expand_universe"] and "_place" not in plans["spearman_by_group"]
+    assert "_place#" in plans["expand_universe"] and "_place#" not in plans["spearman_by_group"]
