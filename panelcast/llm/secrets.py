@@ -62,26 +62,46 @@ def _quoted(pattern: str) -> str:
     return "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _let(value: str, name: str, body: str) -> str:
+    """SQL of body with a name for a value that is worked out once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
 def spans_of(kind: str, text: str = "_text", found: str | None = None) -> str:
     """SQL array of (kind number, kind, start, end) of a pattern's matches that are long enough.
 
     Texts with a match are read once more for the gaps before the matches, each
     from the end of the one before; starts are the running sum of gaps and matches.
+    Building an array by appending costs the square of its length. So the n
+    matches are cut into blocks of n^(1/3): the sums of whole blocks, and then
+    the places within each block, are appended apart, and the blocks joined once.
     """
     pattern, group, least = {**STRONG, **WEAK}[kind]
     found = found or f"regexp_extract_all({text}, {_quoted(pattern)}, 0)"
     flags = "(?i)" if pattern.startswith("(?i)") else ""
     gaps = f"regexp_extract_all({text}, {_quoted(flags + r'\G((?s:.*?))' + pattern.removeprefix('(?i)'))}, 1)"
-    length = f"char_length(regexp_extract(x.m, {_quoted(pattern)}, {group}))" if group else "char_length(x.m)"
+    length = f"char_length(regexp_extract(m, {_quoted(pattern)}, {group}))" if group else "char_length(m)"
     number = KINDS.index(kind)
-    return (
-        f"CASE WHEN size({found}) > 0 THEN aggregate(zip_with({gaps}, {found}, (g, m) -> named_struct('g', g, 'm', m)), "
-        "named_struct('at', 0, 'out', CAST(array() AS array<struct<n:int,kind:string,s:int,e:int>>)), "
-        "(a, x) -> named_struct('at', a.at + char_length(x.g) + char_length(x.m), 'out', "
-        f"CASE WHEN {length} >= {least} THEN concat(a.out, array(named_struct('n', {number}, 'kind', '{kind}', "
-        "'s', a.at + char_length(x.g), 'e', a.at + char_length(x.g) + char_length(x.m)))) ELSE a.out END), "
-        "a -> a.out) ELSE CAST(array() AS array<struct<n:int,kind:string,s:int,e:int>>) END"
+    none = "CAST(array() AS array<struct<n:int,kind:string,s:int,e:int>>)"
+    sizes = f"zip_with({gaps}, {found}, (g, m) -> named_struct('g', char_length(g), 'm', char_length(m), 'ok', {length} >= {least}))"
+    blocks = (
+        "transform(sequence(0, CAST((size(z) - 1) DIV width AS int)), "
+        "i -> slice(z, CAST(i * width + 1 AS int), CAST(width AS int)))"
+    )
+    starts = (
+        "aggregate(transform(blocks, b -> aggregate(b, 0, (a, x) -> a + x.g + x.m)), "
+        "named_struct('at', 0, 'out', CAST(array() AS array<int>)), "
+        "(a, n) -> named_struct('at', a.at + n, 'out', concat(a.out, array(a.at))), a -> a.out)"
+    )
+    spans = (
+        "flatten(zip_with(blocks, starts, (b, start) -> aggregate(b, "
+        f"named_struct('at', start, 'out', {none}), (a, x) -> named_struct('at', a.at + x.g + x.m, 'out', "
+        f"CASE WHEN x.ok THEN concat(a.out, array(named_struct('n', {number}, 'kind', '{kind}', "
+        "'s', a.at + x.g, 'e', a.at + x.g + x.m))) ELSE a.out END), a -> a.out)))"
     )
+    placed = _let(blocks, "blocks", _let(starts, "starts", spans))
+    placed = _let(sizes, "z", _let("CAST(ceil(cbrt(size(z))) AS bigint)", "width", placed))
+    return f"CASE WHEN size({found}) > 0 THEN {placed} ELSE {none} END"
 
 
 def _row_key(docs: DataFrame):

@@ -100,3 +100,14 @@ def test_redaction_equals_brute_force_and_keeps_clashing_columns(spark):
             at = max(at, e)
         assert got[i]["text"] == ("".join(want) + t[at:] if spans else t)
         assert tuple(got[i])[5:] == (1, 2, 3, 4, 5)
+
+
+def test_many_matches_in_one_text(spark):
+    rng = random.Random(9)
+    texts = [" ".join(rng.choices(WORDS, k=k)) for k in (700, 3000)] + ["a1" * 8 + " é" * k for k in (0, 1)]
+    texts.append(" ".join(f"{rng.getrandbits(96):024x}" for _ in range(20_000)))
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], SCHEMA)
+    for r in secrets.scan(df).collect():
+        base = sorted(x for n, (k, (p, g, least)) in enumerate(list(PATTERNS.items())[:3])
+                      for x in ((m.start(), n, k, m.end()) for m in re.finditer(p, texts[r["doc_id"]]) if len(m.group(g)) >= least))
+        assert [tuple(x) for x in r["base"]] == base
