@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from panelcast.queries import adjust, channel, conform, deliver, history, impute, price, project, rules, transfer
+from panelcast.queries import adjust, channel, conform, deliver, history, impute, price, project, rules, runs, transfer
 from panelcast.queries.registry import REGISTRY
 
 __all__ = [
-    "REGISTRY", "adjust", "channel", "conform", "deliver", "history", "impute", "price", "project", "rules",
+    "REGISTRY", "adjust", "channel", "conform", "deliver", "history", "impute", "price", "project", "rules", "runs",
     "transfer",
 ]
