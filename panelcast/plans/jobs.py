@@ -238,19 +238,28 @@ def project_job(inputs: ProjectInputs, periods: Periods, run: Run | None = None)
 # --- 4. price and adjustment ----------------------------------------------------
 
 
+@dataclass(frozen=True)
+class AdjustRules:
+    classes: Sequence[str] = tuple(cfg.REASSIGNED_CLASSES)
+    market: str = cfg.REASSIGNED_MARKET
+    exclusions: Sequence[tuple[str, str]] = tuple(cfg.EXCLUDED_MOLECULES)
+    allocation: Sequence[tuple[str, str, float]] = tuple(cfg.ALLOCATION)
+    scaled_markets: Sequence[str] = tuple(cfg.SCALED_MARKETS)
+    factors: Sequence[tuple[str, str | None, float]] = tuple(cfg.SCALE_OVERRIDES)
+
+
 def price_adjust_job(
-    projected: DataFrame, panel: DataFrame, periods: Periods, run: Run | None = None
+    projected: DataFrame, panel: DataFrame, periods: Periods, run: Run | None = None,
+    rules: AdjustRules = AdjustRules(),
 ) -> DataFrame:
     """Priced projection after class split and scaling of unobserved rows."""
     grains = price.price_grains(panel.filter(F.col("year") == periods.current_year))
     priced = price.price_ladder(projected, grains)
-    moved = adjust.reassign_and_exclude(
-        priced, cfg.REASSIGNED_CLASSES, cfg.REASSIGNED_MARKET, cfg.EXCLUDED_MOLECULES
-    )
-    split = adjust.split_across_markets(moved, cfg.ALLOCATION, ["sales", "units"])
+    moved = adjust.reassign_and_exclude(priced, rules.classes, rules.market, rules.exclusions)
+    split = adjust.split_across_markets(moved, rules.allocation, ["sales", "units"])
     return _keep(run)(
-        adjust.scale_in_place(split, cfg.SCALED_MARKETS, cfg.SCALE_OVERRIDES), "adjusted", ["units", "sales"],
-        {"quarter": periods.projected_quarters, "market": cfg.SCALED_MARKETS, "panel": [0, 1]},
+        adjust.scale_in_place(split, rules.scaled_markets, rules.factors), "adjusted", ["units", "sales"],
+        {"quarter": periods.projected_quarters, "market": rules.scaled_markets, "panel": [0, 1]},
     )
 
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from panelcast.config import Periods
+from panelcast.functions import semantics as sem
 from panelcast.plans import jobs
+from panelcast.queries import adjust, impute, price
 from panelcast.queries import bindings as b
-from panelcast.queries import impute
 from panelcast.queries.conform import PANEL_KEYS
-from panelcast.queries.registry import in_, query, total0, using, with_
+from panelcast.queries.registry import REGISTRY, in_, query, total0, using, with_
 from panelcast.sources.runs import OTHER, Run
 
 QUARTERS = ("2000Q1", "2000Q2")
@@ -67,3 +70,22 @@ def impute_run_totals(spark, sf):
     """Control totals that the run counted while it wrote the result; cells without a row are left out."""
     run, _ = imputed(spark, sf)
     return run.totals("imputed").filter("n_rows > 0")
+
+
+RULES = jobs.AdjustRules(
+    adjust.CLASSES, adjust.MARKET, adjust.EXCLUDED, adjust.ALLOCATION, adjust.MARKETS, adjust.OVERRIDES
+)
+
+
+@query(REGISTRY["adjusted_prices"][1])
+def price_adjust_run(spark, sf):
+    """The job of prices and adjustments in a run of its own: the rows of its operators one by one."""
+    run = Run(spark)
+    rows = b.panel(spark, sf).filter(F.col("year") == PERIODS.current_year)
+    sums = [sem.sum0(m).alias(m) for m in ("sales", "units")]
+    sold = run.stage(rows.groupBy(*price.TARGET, "size").agg(*sums), "sold", ["sales", "units"])
+    reports = F.col("size") >= b.REPORTING_SIZE
+    projected = sold.select(*price.TARGET, "sales", reports.cast("int").alias("panel"))
+    out = jobs.price_adjust_job(projected, sold.filter(reports), PERIODS, run, RULES)
+    run.drop("sold")
+    return out
