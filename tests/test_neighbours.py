@@ -66,3 +66,24 @@ def test_fewer_train_rows_than_k(spark):
     data = [("a", [0.0], 1), ("b", [4.0], 1), ("q", [1.0], 0), ("r", [9.0], None)]
     out = op.knn_items(spark.createDataFrame(data, SCHEMA), "item", search=Search(cell_rows=1))
     assert sorted((r.item, r.neighbour, r.knn_level) for r in out.collect()) == [("q", "a", 1), ("q", "b", 2), ("r", "a", 2), ("r", "b", 1)]
+
+
+def test_comparing_repeats_no_row_for_an_open_cell(spark):
+    """Every cell is open to every row of noise: what is stored for comparing stays one row each."""
+    rng = np.random.default_rng(3)
+    rows = [(f"i{n:04d}", n < 200, [float(v) for v in rng.normal(size=30)]) for n in range(300)]
+    scaled = spark.createDataFrame(rows, "item string, train boolean, vector array<double>")
+    search = Search(cell_rows=10, block_rows=16)
+    placed, cells = op.place(scaled, search)
+    found = op._best(op._compared(op._first_open(placed, cells, search), placed, cells, search), search.k)
+    opened = op._further_open(placed, found, cells, search)
+    assert opened.count() == 100
+    assert opened.selectExpr("sum(size(open))").first()[0] > 1500
+    stored = op._blocks(opened, "cell", "item", search.block_rows).selectExpr("sum(length(matrix))", "max(size(ids))").first()
+    assert stored[0] == 100 * 30 * 8 and stored[1] < 4 * search.block_rows
+    got = op._best(found.drop("knn_level").unionByName(op._compared(opened, placed, cells, search)), search.k).collect()
+    points = np.array([v for _, t, v in rows if t])
+    for r in got:
+        gap = np.sqrt(((points - np.array(rows[int(r.item[1:])][2])) ** 2).sum(axis=1))
+        assert f"i{np.argsort(gap, kind='stable')[r.knn_level - 1]:04d}" == r.neighbour
+    assert len(got) == 300
