@@ -69,3 +69,12 @@ def test_growth_and_consolidation_move_no_row_of_the_history(spark, threshold):
             assert "Exchange" not in text.replace("BroadcastExchange", ""), text
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_buckets_grow_with_the_rows(spark):
+    df = spark.createDataFrame(ROWS, SCHEMA)
+    assert q.stored(spark, df).buckets == q.BUCKETS
+    store = q.stored(spark, df, bucket_rows=20)
+    assert store.buckets == -(-len(ROWS) // 20) > q.BUCKETS
+    assert rows(store.rows()) == sorted(ROWS, key=repr)
+    assert "Exchange hashpartitioning" not in plan(store.rows().groupBy("packid", "city").count())
