@@ -75,3 +75,27 @@ def test_results_are_not_gathered_by_unpartitioned_windows(plans):
 
 def test_rank_correlation_builds_no_universe(plans):
     assert "_place#" in plans["expand_universe"] and "_place#" not in plans["spearman_by_group"]
+
+
+def test_rows_joined_to_packs_are_summed_and_looked_up_where_they_lie(spark):
+    from panelcast.queries import deliver, impute
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (deliver.history(spark, "/root/testdata/sf0.001"), impute.observed(spark, "/root/testdata/sf0.001")):
+            text = df._jdf.queryExecution().executedPlan().toString()
+            dealt = [line for line in text.splitlines() if "Exchange hashpartitioning(" in line]
+            facts = [line for line in dealt if "quarter" in line or "city" in line]
+            assert not facts, facts
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_restating_deals_no_history_by_quarter(spark):
+    from panelcast.queries import deliver
+
+    _, new = deliver.two_versions(spark, "/root/testdata/sf0.001")
+    text = new._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in text.splitlines() if "LeftAnti" in line]
+    assert joins and all("BroadcastHashJoin" in line for line in joins), joins
