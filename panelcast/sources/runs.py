@@ -58,20 +58,28 @@ class Run:
         """
         path = f"{self.path}/{name}"
         if not self.finished(name):
-            cells = [("", "", F.lit(True))]
-            for column, values in (by or {}).items():
+            cells, parts = [("", "", F.lit(True))], {}
+            for i, (column, values) in enumerate((by or {}).items()):
                 listed = list(values)
-                cells += [(column, str(v), F.col(column).eqNullSafe(F.lit(v))) for v in listed]
-                cells.append((column, OTHER, sem.not_in(column, listed)))
+                place = F.lit(None).cast("int")
+                for v in reversed(listed):
+                    place = F.when(F.col(column).eqNullSafe(F.lit(v)), listed.index(v)).otherwise(place)
+                parts |= {f"_place{i}": place, f"_rest{i}": sem.not_in(column, listed)}
+                cells += [(column, str(v), F.col(f"_place{i}") == listed.index(v)) for v in listed]
+                cells.append((column, OTHER, F.col(f"_rest{i}")))
+            for j, m in enumerate(measures):
+                parts |= {f"_part{j}_{p}": c for p, c in sem.exact_parts(m).items()}
             counted = []
             for i, (_, _, inside) in enumerate(cells):
                 counted.append(F.count_if(inside).alias(f"n{i}"))
-                counted += [sem.sum_where(inside, m).alias(f"s{i}_{j}") for j, m in enumerate(measures)]
+                for j in range(len(measures)):
+                    counted += [F.sum(F.when(inside, F.col(f"_part{j}_{p}"))).alias(f"s{i}_{j}_{p}") for p in sem.PARTS]
             seen = Observation(f"{name}-{uuid.uuid4().hex}")
-            df.observe(seen, *counted).write.mode("overwrite").parquet(path)
+            # What the counts need of a row is worked out once, not once per cell.
+            df.withColumns(parts).observe(seen, *counted).drop(*parts).write.mode("overwrite").parquet(path)
             got = seen.get
             rows = [
-                (name, column, value, got[f"n{i}"], measure, None if measure is None else got[f"s{i}_{j}"])
+                (name, column, value, got[f"n{i}"], measure, None if measure is None else sem.of_parts([got[f"s{i}_{j}_{p}"] for p in sem.PARTS]))
                 for i, (column, value, _) in enumerate(cells)
                 for j, measure in enumerate(measures or [None])
             ]

@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from panelcast.functions import semantics as sem
 from panelcast.operators import conform, deliver
 from panelcast.sources import rejects, tables
 from panelcast.sources.runs import OTHER, Run, compare_totals
@@ -101,3 +102,24 @@ def test_changes_turn_old_rows_into_new_ones(spark):
         a, b = spark.createDataFrame(start, schema), spark.createDataFrame(end, schema)
         out = deliver.apply_changes(a, deliver.change_set(a, b, ["k", "q"]), ["k", "q"])
         assert Counter(map(tuple, out.collect())) == Counter(end)
+
+
+def test_totals_of_parts_equal_exact_sums(spark):
+    values = [0.1, -0.1, 1e-9, -1234567.891, 999999999999999.0, -999999999999999.5, 123456.789, None, 5e14, 0.3]
+    sets = [values, [], [None], [1e15, 2.5], [float("inf"), 1.0], [-0.000000001] * 3]
+    for some in sets:
+        df = spark.createDataFrame([(v,) for v in some], "x double")
+        parts = df.select(*[c.alias(p) for p, c in sem.exact_parts("x").items()])
+        sums = parts.agg(*[F.sum(p) for p in sem.PARTS]).first()
+        assert sem.of_parts(sums) == df.agg(sem.sum0("x")).first()[0], some
+
+
+def test_a_row_is_split_once_for_all_cells(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1.5, 1), ("b", -2.25, 2), (None, None, 3), ("c", 1e16, 4)], "k string, x double, _n int")
+    run = Run(spark, "split", str(tmp_path))
+    back = run.stage(df, "rows", ["x"], {"k": ["a", "b", "a"]})
+    assert back.columns == df.columns and back.count() == 4
+    got = [(r.column, r.value, r.n_rows, r.total) for r in run.totals().collect()]
+    assert sorted(got) == sorted([
+        ("", "", 4, 1e16 - 0.75), ("k", "a", 1, 1.5), ("k", "b", 1, -2.25), ("k", "a", 1, 1.5), ("k", "(other)", 2, 1e16),
+    ])
