@@ -7,15 +7,16 @@ prefix a pair must match more often to be a candidate. Each set takes the k for
 which the matches it has to read and the candidates it has to verify are
 estimated to cost least, given how many sets hold each shingle of its prefix; a
 pair must match as often as the smaller k of the two, within the shorter
-prefixes that suffice for the two sizes.
+prefixes that suffice for the two sizes, its first match before the others.
 
 Equal sets are one class before the join. Pairs are proposed in two steps: first
 each class with that holder of its shingles, out of another component, that it
 shares most with; the holder offered is the one with most matches, mostly the
 text a family was copied from. Once these links have made components, only pairs
-of different components. So a family of copies of any size proposes about one
-pair per member, and no link between components is missed. All candidates are
-verified on whole sets.
+of different components, by the places where their first match may lie. So a
+family of copies of any size proposes about one pair per member, those who share
+a little with all of it hardly any, and no link between components is missed. All
+candidates are verified on whole sets.
 
 Which shingles count as common affects the cost only, never the result: they are
 the `common` most frequent of those that occur twice or more within a batch.
@@ -192,14 +193,18 @@ def matches(rows: DataFrame, join: Join) -> DataFrame:
     return stage(rows.select("shingle", "cls", "n", "k", "pos", F.col("s1").alias("central")), "join-matches")
 
 
-def _near(join: Join) -> str:
-    """A match that counts: the sizes allow the pair, and the shingle lies in the prefixes that suffice for the two sizes.
+def _overlap(join: Join, n: str, n2: str) -> str:
+    """SQL of the least number of shingles that similar sets of these sizes share."""
+    return f"(({join.percent} * ({n} + {n2}) + {join.percent + 99}) DIV {100 + join.percent})"
+
+
+def _near(join: Join, k: str = "least(k, k2)") -> str:
+    """A match that counts: the sizes allow the pair, and the shingle lies in the prefixes that suffice for k matches.
 
     Similar sets share at least o of their shingles, by their sizes. At most n - o of a set's shingles then aren't
     shared, so the first k shared ones lie before place n - o + k in either set.
     """
-    overlap = f"(({join.percent} * (n + n2) + {join.percent + 99}) DIV {100 + join.percent})"
-    place = [f"{pos} < {n} - {overlap} + least(k, k2)" for pos, n in (("pos", "n"), ("pos2", "n2"))]
+    place = [f"{pos} < {n} - {_overlap(join, 'n', 'n2')} + {k}" for pos, n in (("pos", "n"), ("pos2", "n2"))]
     return f"100 * least(n, n2) >= {join.percent} * greatest(n, n2) AND {' AND '.join(place)}"
 
 
@@ -229,24 +234,30 @@ def star_pairs(found: DataFrame, join: Join, attempt: int) -> DataFrame:
 
 
 def cross_pairs(found: DataFrame, join: Join) -> DataFrame:
-    """All pairs of classes of different components that match often enough; found has `component`."""
+    """All pairs of classes of different components that match often enough; found has `component`.
+
+    A pair is proposed by a place where its first match may lie, which comes before those of the other k - 1:
+    classes that share a few shingles with all of a family do so late in their prefixes, and don't meet its members.
+    The matches of the pairs proposed are counted in the lists of both.
+    """
+    smallest = f"greatest(smallest, ({join.percent} * n + 99) DIV 100)"  # of the sizes that n can meet here
     mixed = (
         found.groupBy("shingle")
-        .agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+        .agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("n").alias("smallest"))
         .filter("lo <> hi")
-        .select("shingle")
-    )
-    left = found.join(mixed, "shingle")
-    right = left.select(
-        "shingle", *[F.col(c).alias(f"{c}2") for c in ("cls", "n", "k", "pos", "component")]
-    )
-    return (
-        left.join(right, (left.shingle == right.shingle) & F.expr(f"cls < cls2 AND component <> component2 AND {_near(join)}"))
-        .groupBy("cls", "cls2", "n", "n2", "k", "k2")
-        .agg(F.count("*").alias("m"))
-        .filter("m >= least(k, k2)")
-        .select("cls", "cls2", "n", "n2")
+        .select("shingle", "smallest")
     )
+    found = found.join(mixed, "shingle")
+    left = found.filter(f"pos < n - {_overlap(join, 'n', smallest)} + 1").select("shingle", "cls", "n", "k", "pos", "component")
+    right = left.select("shingle", *[F.col(c).alias(f"{c}2") for c in left.columns[1:]])
+    first = F.expr(f"cls < cls2 AND component <> component2 AND {_near(join, '1')}")
+    pairs = left.join(right, (left.shingle == right.shingle) & first).select("cls", "cls2", "n", "n2", "k", "k2")
+    pairs = stage(pairs.distinct(), "join-proposed")
+    held = found.groupBy("cls").agg(F.collect_list(F.struct("pos", "shingle")).alias("held"))
+    both = pairs.join(held, "cls").join(held.select(F.col("cls").alias("cls2"), F.col("held").alias("held2")), "cls2")
+    overlap = _overlap(join, "n", "n2")
+    counted = [f"transform(filter({h}, x -> x.pos < {n} - {overlap} + least(k, k2)), x -> x.shingle)" for h, n in (("held", "n"), ("held2", "n2"))]
+    return both.filter(f"size(array_intersect({', '.join(counted)})) >= least(k, k2)").select("cls", "cls2", "n", "n2")
 
 
 def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, join: Join) -> DataFrame:

@@ -133,3 +133,41 @@ def test_family_around_one_text_links_without_its_copies_linking(spark):
     for join in (ngram_join.Join(), ngram_join.Join(attempts=3, members_at_once=7)):
         got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.near_duplicates(df, join).collect()}
         assert [got[i] for i in range(len(texts))] == brute(texts)
+
+
+def _join_rows(df):
+    """Rows of df, and the most rows that one of its joins made."""
+
+    def plans(p):
+        name = p.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec" or name.endswith("QueryStageExec"):
+            yield from plans(p.executedPlan() if name == "AdaptiveSparkPlanExec" else p.plan())
+            return
+        yield p
+        for i in range(p.children().size()):
+            yield from plans(p.children().apply(i))
+
+    rows = df.collect()
+    joins = [p for p in plans(df._jdf.queryExecution().executedPlan()) if "Join" in p.getClass().getSimpleName()]
+    return rows, max((p.metrics().apply("numOutputRows").value() for p in joins), default=0)
+
+
+def test_those_who_share_little_with_a_family_do_not_meet_its_members(spark, monkeypatch):
+    def held(cls, component, first, k):
+        return [(i + 1, cls, 146, 4, first + i, k, component) for i in range(k)]
+
+    family = [r for c in range(40) for r in held(c, 0, 10, 6)]
+    few = [r for c in range(100, 140) for r in held(c, c, 21, 3)]  # too late for the first of 4 matches
+    three = held(300, 300, 18, 3)  # early enough, but without a fourth
+    schema = "shingle long, cls long, n int, k int, pos int, central long, component long"
+    found = spark.createDataFrame(family + few + three + held(200, 200, 18, 4), schema)
+    made, keep = [], ngram_join.stage
+
+    def stage(df, name):
+        made.append(_join_rows(df)[1])
+        return keep(df, name)
+
+    monkeypatch.setattr(ngram_join, "stage", stage)
+    rows, most = _join_rows(ngram_join.cross_pairs(found, Join()))
+    assert sorted((r["cls"], r["cls2"]) for r in rows) == [(c, 200) for c in range(40)]
+    assert max([most, *made]) < 1000  # 40 * 40 pairs share 3 shingles each
