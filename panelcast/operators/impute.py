@@ -42,6 +42,18 @@ def period_continuity(
     )
 
 
+def _in_cells(
+    panel: DataFrame, cells: DataFrame, cell: Sequence[str], years: tuple[str, str]
+) -> DataFrame:
+    """Rows of the two years in the cells listed.
+
+    The cells are hashed: there is one row for each, so a task holds few of them,
+    and the panel's rows needn't be sorted by the many texts of the key.
+    """
+    rows = panel.filter(F.col("year").isin(list(years)))
+    return sem.null_safe_join(rows, cells.select(*cell).hint("shuffle_hash"), cell, "left_semi")
+
+
 def bounded_growth(
     panel: DataFrame,
     continuity: DataFrame,
@@ -53,10 +65,7 @@ def bounded_growth(
     high: float = 10.0,
 ) -> DataFrame:
     """Year-on-year growth per grain from cells present in both years."""
-    both = continuity.filter(F.col("cnt_min") >= min_months).select(*cell)
-    eligible = sem.null_safe_join(
-        panel.filter(F.col("year").isin(list(years))), both, cell, "left_semi"
-    )
+    eligible = _in_cells(panel, continuity.filter(F.col("cnt_min") >= min_months), cell, years)
     y0, y1 = years
     return (
         eligible.groupBy(*grain)
@@ -86,10 +95,7 @@ def impute_paired_period(
     Result columns follow the pattern measure_year (sales_1999, flag_1999, …).
     """
     y0, y1 = years
-    either = continuity.filter(F.col("cnt_max") >= min_months).select(*cell)
-    scope = sem.null_safe_join(
-        panel.filter(F.col("year").isin([y0, y1])), either, cell, "left_semi"
-    )
+    scope = _in_cells(panel, continuity.filter(F.col("cnt_max") >= min_months), cell, years)
 
     def year_sum(y: str):
         here = F.col("year") == y

@@ -75,16 +75,16 @@ def imputable(panel):
     return op.with_quarter_parts(panel.filter(F.col("year").isin(list(b.YEARS))))
 
 
-def paired(panel):
-    rows = imputable(panel)
-    cont = op.period_continuity(rows, CELL, b.YEARS)
-    growth = op.bounded_growth(rows, cont, CELL, GROWTH, b.YEARS)
+def paired(rows):
+    """Both lookups are stored: the first is used twice, and of the second only the measured size tells that it is small."""
+    cont = stage(op.period_continuity(rows, CELL, b.YEARS), "continuity")
+    growth = stage(op.bounded_growth(rows, cont, CELL, GROWTH, b.YEARS), "growth")
     return op.impute_paired_period(rows, cont, growth, CELL, ITEM, GROWTH, b.YEARS)
 
 
-def stored(spark, sf):
-    """The canonical panel as a stored stage: the imputation reads it several times."""
-    return stage(observed(spark, sf), "panel")
+def stored_rows(spark, sf):
+    """The canonical panel's rows of the two years as a stored stage: the imputation reads them several times."""
+    return stage(imputable(observed(spark, sf)), "panel-years")
 
 
 @query(with_(*_CHAIN[:4], "SELECT * FROM continuity"))
@@ -94,19 +94,19 @@ def period_continuity(spark, sf):
 
 @query(with_(*_CHAIN[:5], "SELECT * FROM growth"))
 def bounded_growth(spark, sf):
-    panel = imputable(stored(spark, sf))
-    cont = op.period_continuity(panel, CELL, b.YEARS)
-    return op.bounded_growth(panel, cont, CELL, GROWTH, b.YEARS)
+    rows = stored_rows(spark, sf)
+    cont = op.period_continuity(rows, CELL, b.YEARS)
+    return op.bounded_growth(rows, cont, CELL, GROWTH, b.YEARS)
 
 
 @query(with_(*_CHAIN[:6], "SELECT * FROM wide"))
 def impute_paired_period(spark, sf):
-    return paired(stored(spark, sf))
+    return paired(stored_rows(spark, sf))
 
 
 @query(with_(*_CHAIN, "SELECT * FROM long"))
 def unpivot_compound(spark, sf):
-    return op.unpivot_compound(paired(stored(spark, sf)), ["flag", "sales"], "year")
+    return op.unpivot_compound(paired(stored_rows(spark, sf)), ["flag", "sales"], "year")
 
 
 @query(
@@ -122,6 +122,6 @@ def unpivot_compound(spark, sf):
     )
 )
 def merge_imputed(spark, sf):
-    panel = stored(spark, sf)
-    long = op.unpivot_compound(paired(panel), ["flag", "sales"], "year")
+    panel = stage(observed(spark, sf), "panel")
+    long = op.unpivot_compound(paired(imputable(panel)), ["flag", "sales"], "year")
     return op.merge_imputed(panel, op.rebuild_periods(long), PANEL_KEYS)

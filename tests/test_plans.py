@@ -99,3 +99,23 @@ def test_restating_deals_no_history_by_quarter(spark):
     text = new._jdf.queryExecution().executedPlan().toString()
     joins = [line for line in text.splitlines() if "LeftAnti" in line]
     assert joins and all("BroadcastHashJoin" in line for line in joins), joins
+
+
+def test_imputation_stores_only_the_rows_of_its_years(plans):
+    for name in ("bounded_growth", "impute_paired_period", "unpivot_compound"):
+        scan = next(line for line in plans[name].splitlines() if "lineitem.parquet" in line)
+        assert "IN (1999,2000)" in scan, name
+
+
+def test_rows_to_impute_are_not_sorted_for_their_cells(spark):
+    from panelcast.queries import impute
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = impute.imputable(impute.observed(spark, SF))
+        text = plan(impute.paired(rows))
+        joins = [line for line in text.splitlines() if "LeftSemi" in line]
+        assert joins and all("ShuffledHashJoin" in line for line in joins), joins
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
