@@ -87,3 +87,21 @@ def test_comparing_repeats_no_row_for_an_open_cell(spark):
         gap = np.sqrt(((points - np.array(rows[int(r.item[1:])][2])) ** 2).sum(axis=1))
         assert f"i{np.argsort(gap, kind='stable')[r.knn_level - 1]:04d}" == r.neighbour
     assert len(got) == 300
+
+
+def test_blocks_meet_without_a_join_and_hard_numbers_stay_exact(spark):
+    """A block is sent once per line of the grid, not once per pair; single precision only rules out."""
+    rng = np.random.default_rng(8)
+    x = 1e8 + rng.normal(size=(260, 4))  # single precision sees one point
+    x[:20] = x[40:60] + rng.normal(size=(20, 4)) * 1e-3
+    x[30:35] = x[100:105]  # equal rows: ties go to the smaller id
+    data = [(f"i{n:04d}", [float(v) for v in x[n]], int(n >= 40)) for n in range(260)]
+    out = op.knn_items(spark.createDataFrame(data, SCHEMA), "item", search=Search(cell_rows=30, block_rows=16))
+    got = {(r.item, r.knn_level): (r.neighbour, r.distance) for r in out.collect()}
+    expected = brute(data, 3)
+    assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in expected.items()}
+    assert all(np.isclose(got[k][1], expected[k][1], rtol=1e-6, atol=1e-6) for k in got)
+    scaled = spark.createDataFrame([(i, bool(t), v) for i, v, t in data], "item string, train boolean, vector array<double>")
+    placed, cells = op.place(scaled, Search())
+    plan = op._compared(op._first_open(placed, cells, Search()), placed, cells, Search())._jdf.queryExecution().toString()
+    assert "Join" not in plan and "MapInArrow" in plan
