@@ -104,6 +104,23 @@ def test_changes_turn_old_rows_into_new_ones(spark):
         assert Counter(map(tuple, out.collect())) == Counter(end)
 
 
+def test_only_slices_that_differ_are_matched_row_by_row(spark):
+    schema = "k string, q string, x double, y double, z string"
+    same = [("a", "1", 1.0, None, "u"), ("a", "1", 1.0, None, "u"), (None, "1", 0.0, float("nan"), None), ("b", None, None, None, "")]
+    old = [*same, ("c", "2", None, 5.0, "u"), ("d", "3", 1.0, 1.0, "u"), ("e", "4", 1.0, 1.0, "u"), ("f", "5", 1.0, 2.0, "ab"), ("f", "5", 2.0, 1.0, "")]
+    new = [*same[::-1], ("c", "2", 5.0, None, "u"), ("d", "3", 1.0, 1.0, "u"), ("d", "3", 1.0, 1.0, "u"), ("f", "5", 1.0, 1.0, "ab"), ("f", "5", 2.0, 2.0, ""), ("g", "6", 1.0, 1.0, "u")]
+    a, b = spark.createDataFrame(old, schema), spark.createDataFrame(new, schema)
+    differing = deliver.differing_slices(a, b, ["k", "q", "x", "y", "z"], ["q"])
+    assert sorted(r.q for r in differing.collect()) == ["2", "3", "4", "5", "6"]
+    lists = [df.withColumn("z", F.array("z")) for df in (a, b)]
+    assert deliver.differing_slices(*lists, ["k", "q", "x", "y", "z"], ["q"]) is None
+    for start, end in ((a, b), (b, a), (a, a), (a.filter("false"), b), (a, b.filter("false")), lists):
+        plain, sliced = (deliver.change_set(start, end, ["k", "q"], s) for s in ([], ["q"]))
+        assert Counter(map(str, plain.collect())) == Counter(map(str, sliced.collect()))
+        out = deliver.apply_changes(start, sliced, ["k", "q"], ["q"])
+        assert out.columns == a.columns and Counter(map(str, out.collect())) == Counter(map(str, end.collect()))
+
+
 def test_totals_of_parts_equal_exact_sums(spark):
     values = [0.1, -0.1, 1e-9, -1234567.891, 999999999999999.0, -999999999999999.5, 123456.789, None, 5e14, 0.3]
     sets = [values, [], [None], [1e15, 2.5], [float("inf"), 1.0], [-0.000000001] * 3]
